@@ -15,6 +15,8 @@ SESSION_DEFAULTS = {
     # Keeps processing_date, year and month folders as text: month "01" must not become 1.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Methods beyond this size are never compiled by the JVM; wide rows reach it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -31,6 +33,15 @@ def build_session(app: str = "caselake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a scan with fewer splits than cores, such as one small file.
+
+    A table of many files has more splits than cores and is returned as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under ``spark.checkpoint.dir``.
 

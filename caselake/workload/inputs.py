@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselake.plans import domain
+from caselake.session import spread
 
 AS_OF = date(2008, 6, 1)
 BATCH_ID = "batch-2026-01"
@@ -23,8 +24,16 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def lines_with_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with order and customer, one row per line item."""
-    lines, orders = read(spark, folder, "lineitem"), read(spark, folder, "orders")
-    customers = read(spark, folder, "customer")
+    return _with_orders(spark, folder, read(spark, folder, "lineitem"))
+
+
+def spread_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for work that is heavy per row, on all cores also when the table is one file."""
+    return _with_orders(spark, folder, spread(read(spark, folder, "lineitem")))
+
+
+def _with_orders(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame:
+    orders, customers = read(spark, folder, "orders"), read(spark, folder, "customer")
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -102,7 +111,7 @@ PERIOD_EXPR = "substring(CAST(d AS STRING), 1, 7)"
 
 def notifications(spark: SparkSession, folder: str) -> DataFrame:
     """One notification per line item: all source columns as text, and the day it is filed under."""
-    base = lines_with_orders(spark, folder).selectExpr(*(f"{e} AS {n}" for n, e in BASE.items()))
+    base = spread_lines(spark, folder).selectExpr(*(f"{e} AS {n}" for n, e in BASE.items()))
     return base.selectExpr(
         *(f"{NOTIFICATION.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in domain.SOURCE_COLUMNS),
         "d AS filed_on",
