@@ -67,10 +67,14 @@ def hash_shard(identifier: Column, shards: int) -> Column:
     return (F.conv(head, 16, 10).cast("long") % shards).cast("int")
 
 
+def _with_value(value: Column, use) -> Column:
+    """Evaluate ``value`` once and use it many times inside one expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _check_digit(digits, weights) -> Column:
     total = sum((d * w for d, w in zip(digits, weights)), F.lit(0))
-    rest = total % 11
-    return F.when(rest < 2, F.lit(0)).otherwise(11 - rest)
+    return (11 - total % 11) % 11 % 10
 
 
 def _digits_of(text: Column, count: int):
@@ -79,23 +83,27 @@ def _digits_of(text: Column, count: int):
 
 def person_number(raw: Column) -> Column:
     """Eleven digits with both mod-11 check digits right, or NULL."""
-    digits_only = F.regexp_replace(raw, "[^0-9]", "")
-    d = _digits_of(digits_only, 11)
-    sound = (
-        digits_only.rlike("^[0-9]{11}$")
-        & ~digits_only.rlike(r"^([0-9])\1{10}$")
-        & (d[9] == _check_digit(d[:9], range(10, 1, -1)))
-        & (d[10] == _check_digit(d[:10], range(11, 1, -1)))
-    )
-    return F.when(sound, digits_only)
+    def checked(number: Column) -> Column:
+        d = _digits_of(number, 11)
+        sound = (
+            number.rlike("^[0-9]{11}$")
+            & ~number.rlike(r"^([0-9])\1{10}$")
+            & (d[9] == _check_digit(d[:9], range(10, 1, -1)))
+            & (d[10] == _check_digit(d[:10], range(11, 1, -1)))
+        )
+        return F.when(sound, number)
+
+    return _with_value(F.regexp_replace(raw, "[^0-9]", ""), checked)
 
 
 def with_check_digits(nine_digits: Column) -> Column:
     """Complete nine base digits to a person number."""
-    d = _digits_of(nine_digits, 9)
-    first = _check_digit(d, range(10, 1, -1))
-    second = _check_digit(d + [first], range(11, 1, -1))
-    return F.concat(nine_digits, first.cast("string"), second.cast("string"))
+    def next_digit(text: Column, count: int) -> Column:
+        digit = _check_digit(_digits_of(text, count), range(count + 1, 1, -1))
+        return F.concat(text, digit.cast("string"))
+
+    ten = _with_value(nine_digits, lambda text: next_digit(text, 9))
+    return _with_value(ten, lambda text: next_digit(text, 10))
 
 
 def key_pads(key: bytes) -> tuple[bytes, bytes]:

@@ -24,6 +24,16 @@ def typed(df: DataFrame, columns, strict_dates: bool = True) -> DataFrame:
     )
 
 
+def bind(df: DataFrame, columns: dict) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    A plain projection is copied into every filter pushed below it, which for long expressions
+    costs one evaluation per use. A generated row is not: filters on it stay above it.
+    """
+    row = F.struct(*(value.alias(name) for name, value in columns.items()))
+    return df.select(*(c for c in df.columns if c not in columns), F.inline(F.array(row)))
+
+
 def with_labels(df: DataFrame, labelled: dict, unmapped: str) -> DataFrame:
     """Add ``<stem>_name`` beside each ``<stem>_code``."""
     return df.withColumns({

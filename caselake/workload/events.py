@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselake.functions import identity
+from caselake.operators.projection import bind
 from caselake.session import shared_folder
 from caselake.streaming import contract, counters, pipeline, serve
 from caselake.workload.inputs import read
@@ -26,7 +27,7 @@ def triage_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Events with person, age, unit and place of their user."""
     events, customers = read(spark, folder, "events"), read(spark, folder, "customer")
     nations = read(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("state"))
-    people = customers.withColumn("number", identity.with_check_digits(F.expr(NINE))).join(
+    people = bind(customers, {"number": identity.with_check_digits(F.expr(NINE))}).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
     return events.join(people, F.col("user_id") == F.col("c_custkey")).select(
@@ -41,7 +42,7 @@ TRIAGE_SQL = f"""{PEOPLE_SQL},
 triage AS (SELECT CAST(event_id AS VARCHAR) AS event_id, ts, user_id, number, n_name AS state,
   {RISK_SQL} AS risk_level, {AGE_SQL} AS age, {UNIT_SQL} AS unit_id,
   CAST(1100000 + c.c_nationkey AS VARCHAR) AS municipality_code, {FAULT_SQL} AS fault,
-  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS at
+  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS moment
   FROM events JOIN customer c ON user_id = c.c_custkey JOIN nation ON c.c_nationkey = n_nationkey
   JOIN n2 ON n2.c_custkey = c.c_custkey)"""
 
@@ -216,9 +217,9 @@ def history_rows(spark: SparkSession, folder: str, ring: DataFrame) -> DataFrame
 WITH {TRIAGE_SQL},
 asked AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 9 THEN '90000000000' ELSE number END AS person_id FROM n2),
 valid AS (SELECT * FROM triage WHERE fault NOT BETWEEN 1 AND 12),
-h AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at DESC, event_id DESC) AS page_position FROM valid),
+h AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY moment DESC, event_id DESC) AS page_position FROM valid),
 known AS (SELECT DISTINCT user_id FROM valid)
-SELECT a.c_custkey, k.user_id IS NOT NULL AS found, h.event_id, h.at AS notification_at, h.risk_level,
+SELECT a.c_custkey, k.user_id IS NOT NULL AS found, h.event_id, h.moment AS notification_at, h.risk_level,
   CAST(h.page_position AS INTEGER) AS page_position
 FROM asked a LEFT JOIN known k ON k.user_id = a.c_custkey AND a.person_id <> '90000000000'
 LEFT JOIN h ON h.user_id = k.user_id AND h.page_position <= 5""")
@@ -227,7 +228,7 @@ def history_page(spark, folder):
     ring = identity.keyring(spark, TEST_KEYS)
     history = history_rows(spark, folder, ring)
     vault = pipeline.new_tokens(history, None)
-    people = read(spark, folder, "customer").withColumn("number", identity.with_check_digits(F.expr(NINE))).select(
+    people = bind(read(spark, folder, "customer"), {"number": identity.with_check_digits(F.expr(NINE))}).select(
         "c_custkey", F.when(F.col("c_custkey") % 10 == 9, "90000000000").otherwise(F.col("number")).alias("person_id"),
     )
     page = serve.history_pages(history, vault, people, ring, "v1", limit=5, keep=("c_custkey",))
@@ -287,7 +288,7 @@ def stream_counters(spark, folder):
 
 @query("q_stream_history", f"""
 WITH {TRIAGE_SQL}
-SELECT event_id, risk_level, state, age, {_BAND_SQL} AS age_group, at AS notification_at,
+SELECT event_id, risk_level, state, age, {_BAND_SQL} AS age_group, moment AS notification_at,
   'pt_' || substring(sha256('token:' || {sql_hmac('number', TEST_KEYS['v1'])}), 1, 32) AS patient_token
 FROM triage WHERE fault NOT BETWEEN 1 AND 12""")
 def stream_history(spark, folder):
