@@ -254,7 +254,7 @@ def surrogate_keys(spark, folder):
 
 
 # Base digits from the key; every fifth number is damaged and every seventh is punctuated.
-NINE = "lpad(CAST(c_custkey % 1000000 AS STRING), 9, '900')"
+NINE = "'9' || lpad(CAST(c_custkey % 100000000 AS STRING), 8, '0')"
 
 
 def _sql_check(digits: str, count: int, top: int) -> str:
