@@ -128,14 +128,13 @@ def with_fingerprint(df: DataFrame, number: str, ring: DataFrame, version: str,
                      name: str = "fingerprint") -> DataFrame:
     """Replace a person number by its keyed fingerprint under one key version.
 
-    The keyring holds one row per key version, so broadcasting it has a fixed size.
+    The two pads come from the keyring by scalar subquery: read once, used on every row.
     """
-    return (
-        df.withColumn("key_version", F.lit(version))
-        .join(F.broadcast(ring), "key_version")
-        .withColumn(name, hmac_sha256(F.col(number), F.col("inner_pad"), F.col("outer_pad")))
-        .drop("inner_pad", "outer_pad", number)
-    )
+    key = ring.filter(F.col("key_version") == version)
+    inner, outer = key.select("inner_pad").scalar(), key.select("outer_pad").scalar()
+    return df.withColumns({
+        "key_version": F.lit(version), name: hmac_sha256(F.col(number), inner, outer),
+    }).drop(number)
 
 
 def person_token(fingerprint: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselake.functions import identity
 from caselake.operators.projection import bind
-from caselake.session import shared_folder
+from caselake.session import shared_folder, spread
 from caselake.streaming import contract, counters, pipeline, serve
 from caselake.workload.inputs import read
 from caselake.workload.registry import query
@@ -25,7 +25,7 @@ FAULT_SQL = "CAST(event_id % 97 AS INT)"
 
 def triage_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Events with person, age, unit and place of their user."""
-    events, customers = read(spark, folder, "events"), read(spark, folder, "customer")
+    events, customers = spread(read(spark, folder, "events")), read(spark, folder, "customer")
     nations = read(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("state"))
     people = bind(customers, {"number": identity.with_check_digits(F.expr(NINE))}).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
