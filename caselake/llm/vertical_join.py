@@ -7,8 +7,9 @@ shingle of their prefixes at places that still allow the threshold (length and p
 overlap is counted fragment by fragment and summed.
 
 Groups of copies stay small: equal sets are one class from the start, and inside a list of sets that share
-a shingle each is first compared with one leader only. Sets already in one component need no further pairs;
-all other pairs of the list are compared afterwards, so no link between components is lost.
+a shingle each is first compared with one leader only, then, if it is not yet in the leader's component, with
+other members of it in a few turns. Sets in one component need no further pairs; all other pairs of the
+list are compared in the end, so no link between components is lost.
 
 Shingles so frequent that one task might not hold their places are ordered last from an upper estimate of
 their counts (their number is bounded by ``HOT_SHINGLES``, the counts only set the order, never a result).
@@ -32,7 +33,9 @@ from caselake.llm.shingles import portions, set_signatures, shingle_sets
 from caselake.llm.store import drop, write_out
 
 SHINGLES_PER_BUCKET = 1_500_000
-OVERLAP_FRAGMENTS = 8
+FRAGMENT_BITS = 2
+LINKING_TURNS = 3
+LISTS_PER_TURN = 4
 HOT_SHINGLES = 50_000
 HOT_LEAST = 64
 BUFFERED_SHINGLES = 1_000_000
@@ -220,22 +223,42 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     places = places.select("shingle", F.struct("s1", "n", (F.col("singles") + F.col("k")).alias("pos")).alias("m"))
     led = places.withColumn("leader", F.min("m").over(Window.partitionBy("shingle")))
     led, led_path = write_out(led, "places")
-    part = F.shiftrightunsigned("x", 61)
+    part = F.shiftrightunsigned("x", 64 - FRAGMENT_BITS)
     fragments = able.select("s1", F.explode("shared").alias("x")).groupBy("s1", part.alias("fragment")).agg(F.collect_list("x").alias("part"))
     fragments, fragments_path = write_out(fragments, "fragments")
 
-    first, first_path = write_out(_links(_pairs(led.where(_fits("m", "leader", percent)), "m", "leader"), fragments, percent), "links")
-    joined = components(first)
-    node = joined.select(F.col("node").alias("s1"), "root")
-    mine = led.select("shingle", "m", "leader", F.col("m.s1").alias("s1")).join(node, "s1", "left").withColumn("root", F.coalesce("root", "s1"))
-    mine = mine.withColumn("main", F.max(F.when(F.col("s1") == F.col("leader.s1"), F.col("root"))).over(Window.partitionBy("shingle")))
-    mine, mine_path = write_out(mine.select("shingle", "m", "leader", "root", "main"), "joined")
-    apart = mine.where("root != main").select("shingle", F.col("m").alias("x"), F.col("root").alias("root_x"))
-    rest = mine.select("shingle", F.col("m").alias("y"), F.col("root").alias("root_y"), "leader")
-    other = apart.join(rest, "shingle").where((F.col("root_x") != F.col("root_y")) & (F.col("y.s1") != F.col("leader.s1")) & _fits("x", "y", percent))
-    second, second_path = write_out(_links(_pairs(other, "x", "y"), fragments, percent), "links")
-    joined = components(first.union(second)) if second.limit(1).count() else joined
-    drop(spark, able_path, led_path, fragments_path, first_path, second_path, mine_path)
+    links, *link_paths = write_out(_links(_pairs(led.where(_fits("m", "leader", percent)), "m", "leader"), fragments, percent), "links")
+    joined = components(links)
+    by_list, by_set = Window.partitionBy("shingle"), Window.partitionBy("s1")
+    for turn in range(LINKING_TURNS + 1):
+        node = joined.select(F.col("node").alias("s1"), "root")
+        mine = led.select("shingle", "m", "leader", F.col("m.s1").alias("s1")).join(node, "s1", "left").withColumn("root", F.coalesce("root", "s1"))
+        mine = mine.withColumn("main", F.max(F.when(F.col("s1") == F.col("leader.s1"), F.col("root"))).over(by_list))
+        mine, mine_path = write_out(mine.select("shingle", "s1", "m", "leader", "root", "main"), "joined")
+        apart = mine.where("root != main")
+        if not apart.limit(1).count():
+            drop(spark, mine_path)
+            break
+        if turn < LINKING_TURNS:
+            # Sets outside the leader's component meet other members of it, on a few of their lists.
+            lot = F.xxhash64("s1", "shingle", F.lit(turn))
+            met = mine.withColumn("y", F.min(F.when(F.col("root") == F.col("main"), F.struct(lot.alias("lot"), "m"))).over(by_list)["m"])
+            met = met.where("root != main").select("s1", "shingle", F.col("m").alias("x"), "y").where(_fits("x", "y", percent))
+            met = met.withColumn("k", F.row_number().over(by_set.orderBy(F.xxhash64("shingle", F.lit(turn)))))
+            pairs = _pairs(met.where(F.col("k") <= LISTS_PER_TURN), "x", "y")
+        else:
+            # All pairs left: of different components, and not compared with the leader before.
+            apart = apart.select("shingle", F.col("m").alias("x"), F.col("root").alias("root_x"))
+            rest = mine.select("shingle", F.col("m").alias("y"), F.col("root").alias("root_y"), "leader")
+            other = apart.join(rest, "shingle").where((F.col("root_x") != F.col("root_y")) & (F.col("y.s1") != F.col("leader.s1")) & _fits("x", "y", percent))
+            pairs = _pairs(other, "x", "y")
+        more, path = write_out(_links(pairs, fragments, percent), "links")
+        link_paths.append(path)
+        drop(spark, mine_path)
+        if more.limit(1).count():
+            links = links.union(more)
+            joined = components(links)
+    drop(spark, able_path, led_path, fragments_path, *link_paths)
 
     full = sets.where("n > 0")
     classes = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
