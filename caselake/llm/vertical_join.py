@@ -34,7 +34,7 @@ from caselake.llm.store import drop, write_out
 
 SHINGLES_PER_BUCKET = 1_500_000
 FRAGMENT_BITS = 2
-LINKING_TURNS = 3
+LINKING_TURNS = 2
 LISTS_PER_TURN = 4
 HOT_SHINGLES = 50_000
 HOT_LEAST = 64
@@ -221,7 +221,9 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     in_prefix = F.slice("shared", F.lit(1), F.greatest(F.lit(0), prefix - singles).cast("int"))
     places = able.select("s1", "n", singles.alias("singles"), F.posexplode(in_prefix).alias("k", "shingle"))
     places = places.select("shingle", F.struct("s1", "n", (F.col("singles") + F.col("k")).alias("pos")).alias("m"))
-    led = places.withColumn("leader", F.min("m").over(Window.partitionBy("shingle")))
+    # The leader has the fewest rarer shingles before this one: the likely origin of a group of near copies.
+    places = places.withColumn("rank", F.struct("m.pos", "m.n", "m.s1"))
+    led = places.withColumn("leader", F.min("rank").over(Window.partitionBy("shingle"))).drop("rank")
     led, led_path = write_out(led, "places")
     part = F.shiftrightunsigned("x", 64 - FRAGMENT_BITS)
     fragments = able.select("s1", F.explode("shared").alias("x")).groupBy("s1", part.alias("fragment")).agg(F.collect_list("x").alias("part"))
