@@ -1,8 +1,8 @@
 """Repeated runs of sentences.
 
-A text's sentences end at ., ! or ? before white space, or at a line feed. From every sentence starts one
-run: the shortest stretch of sentences with at least ``RUN_WORDS`` words that has two sentences, or one of
-``LONG_WORDS`` words. Runs are compared by a 64-bit hash of their words in lower case. Of all occurrences
+A text's sentences end at ., ! or ? before white space, or at a line feed. At every sentence starts one run
+and ends one run: the shortest stretch of sentences with at least ``RUN_WORDS`` words that has two sentences, or
+one of ``LONG_WORDS`` words. Runs are compared by a 64-bit hash of their words in lower case. Of all occurrences
 the first by (doc_id, place) stays; sentences that any other occurrence covers are removed.
 
 Null and empty texts have no sentences; a null doc_id sorts first; rows with the same doc_id and text count
@@ -12,7 +12,9 @@ as one document, so none of them is emptied by the other; an empty table gives n
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,29 +32,23 @@ def sentences(text: str) -> list[str]:
 
 
 def runs(parts: list[str]) -> list[tuple[int, int, int]]:
-    """(hash, number of the first sentence, sentences) of every run."""
+    """(hash, number of the first sentence, sentences) of every run. Sentences without words belong to no run."""
     import xxhash
 
-    words = [s.lower().split() for s in parts]
-    marks = [xxhash.xxh64_digest(" ".join(w)) for w in words]
-    counts, out, end, total = list(map(len, words)), [], 0, 0
-    for start in range(len(parts)):
-        if not counts[start]:
-            total -= counts[start] if end > start else 0
-            end = max(end, start + 1)
-            continue
-        while end < len(parts) and not _closed(end - start, total):
-            total += counts[end]
-            end += 1
-        if _closed(end - start, total):
-            digest = xxhash.xxh64_intdigest(b"".join(marks[i] for i in range(start, end) if counts[i]))
-            out.append((digest - (1 << 63), start, end - start))
-        total -= counts[start]
-    return out
-
-
-def _closed(size: int, words: int) -> bool:
-    return words >= RUN_WORDS and (size > 1 or words >= LONG_WORDS)
+    words = [(i, w) for i, s in enumerate(parts) if (w := s.lower().split())]
+    marks = [xxhash.xxh64_digest(" ".join(w)) for _, w in words]
+    upto = [0, *accumulate(len(w) for _, w in words)]
+    found = set()
+    for k in range(len(words)):
+        end = max(k + 1, bisect_left(upto, upto[k] + RUN_WORDS))
+        end += end == k + 1 and upto[k + 1] - upto[k] < LONG_WORDS
+        if end <= len(words):
+            found.add((k, end))
+        start = min(k, bisect_right(upto, upto[k + 1] - RUN_WORDS) - 1)
+        start -= start == k and upto[k + 1] - upto[k] < LONG_WORDS
+        if start >= 0:
+            found.add((start, k + 1))
+    return [(xxhash.xxh64_intdigest(b"".join(marks[k:end])) - (1 << 63), words[k][0], words[end - 1][0] - words[k][0] + 1) for k, end in found]
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
