@@ -128,10 +128,12 @@ def with_fingerprint(df: DataFrame, number: str, ring: DataFrame, version: str,
                      name: str = "fingerprint") -> DataFrame:
     """Replace a person number by its keyed fingerprint under one key version.
 
-    The two pads come from the keyring by scalar subquery: read once, used on every row.
+    The two pads come from the keyring by scalar subquery: read once, used on every row. A version that
+    the ring lacks fails the query, as a null fingerprint would read as an unknown person.
     """
     key = ring.filter(F.col("key_version") == version)
-    inner, outer = key.select("inner_pad").scalar(), key.select("outer_pad").scalar()
+    unknown = F.raise_error(F.lit(f"The keyring has no version {version}.")).cast("binary")
+    inner, outer = (F.coalesce(key.select(pad).scalar(), unknown) for pad in ("inner_pad", "outer_pad"))
     return df.withColumns({
         "key_version": F.lit(version), name: hmac_sha256(F.col(number), inner, outer),
     }).drop(number)

@@ -34,12 +34,12 @@ def build_session(app: str = "caselake", master: str | None = None, **conf: str)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a scan with fewer splits than cores, such as one small file.
+    """Use all cores for a scan with fewer splits than cores, such as one file of one row group.
 
-    A table of many files has more splits than cores and is returned as it is, unshuffled.
+    A large table has more splits than cores, also in few files, and is returned as it is, unshuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:

@@ -64,8 +64,9 @@ def read_drop(spark: SparkSession, folder: str, header, files: DataFrame, date_c
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
     renamed = rows.select(*(F.col(f"`{h}`").alias(n) for h, n in zip(header, names)), "source_file")
-    # Both spellings of a local path (file:/ and file:///) mean the same file.
-    plain = F.regexp_replace("source_file", "^file:/+", "/")
+    # Both spellings of a local path (file:/ and file:///) mean the same file; the scan's own is URL-encoded.
+    decoded = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
+    plain = F.regexp_replace(decoded, "^file:/+", "/")
     fresh = files.select("file_sha256", F.regexp_replace("source_file", "^file:/+", "/").alias("_plain"))
     return (
         renamed.withColumn("_plain", plain).join(fresh, "_plain").drop("_plain")

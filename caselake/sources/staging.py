@@ -39,6 +39,8 @@ def write_staging(records: DataFrame, day: str, order, part: Slice, root: str, c
         out.repartitionByRange(*keys).sortWithinPartitions(*keys)
         .select(*columns, "reference_period")
         .write.mode("overwrite").partitionBy("reference_period")
+        # Only the periods of this extract are replaced; others of the same day stay.
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip").option("ignoreNullFields", "false")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .json(Slice(part.processing_date, part.granularity).under(root))

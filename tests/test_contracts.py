@@ -75,7 +75,8 @@ def test_windows():
     first, last = serve.window_of("2026-08-03T14:00:30-03:00", "2026-08-03T14:02:59-03:00")
     assert (first.hour, first.minute, last.minute) == (17, 0, 2)
     for bad in (("2026-08-03T14:00:00Z", None), ("2026-08-03T14:00:00", "2026-08-03T14:01:00"),
-                ("2026-08-03T14:05:00Z", "2026-08-03T14:01:00Z"), (None, None, 0), (None, None, 1441)):
+                ("2026-08-03T14:05:00Z", "2026-08-03T14:01:00Z"), (None, None, 0), (None, None, 1441),
+                (None, None, "x"), ("no", "instant")):
         with pytest.raises(ContractViolation):
             serve.window_of(*bad)
     assert len(serve.STATES) == 27
