@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 JOIN_CODE_DIGITS = 6
 
 _REGION = "struct<id: bigint, sigla: string, nome: string>"
 _STATE = f"struct<id: bigint, sigla: string, nome: string, regiao: {_REGION}>"
-REFERENCE_SCHEMA = T.StructType.fromDDL(
-    f"id bigint, nome string, microrregiao struct<mesorregiao: struct<UF: {_STATE}>>"
-)
+# Text, as only a session can parse it, and the module is imported before there is one.
+REFERENCE_SCHEMA = f"id bigint, nome string, microrregiao struct<mesorregiao: struct<UF: {_STATE}>>"
 
 _STATE_PATH = "microrregiao.mesorregiao.UF"
 # Output column to its place in the nested record, with numbers as text.
