@@ -4,31 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
 
-
-def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether the table has at most ``row_limit`` rows. Reads no more than one row beyond it."""
-    return df.limit(row_limit + 1).count() <= row_limit
-
-
-def attach_roles(df: DataFrame, reference: DataFrame, roles: dict, code: str, attributes,
-                 row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def attach_roles(df: DataFrame, reference: DataFrame, roles: dict, code: str, attributes) -> DataFrame:
     """Left-join the reference once per role, prefixing its attributes with the role.
 
     ``roles`` maps a prefix to the code column of ``df``; ``code`` must be unique in the
-    reference. The size is checked: within the limit the large side is never shuffled, beyond
-    it the join is left to Spark, where adaptive execution splits the rows of a hot code.
+    reference. Spark chooses the join by the measured size of the reference: a small one is
+    broadcast, beyond that adaptive execution splits the rows of a hot code.
     """
-    small = fits_broadcast(reference, row_limit)
     for prefix, column in roles.items():
         side = reference.select(
             F.col(code).alias(f"_{prefix}_code"),
             *(F.col(a).alias(f"{prefix}_{a}") for a in attributes if f"{prefix}_{a}" != column),
         )
-        df = df.join(
-            F.broadcast(side) if small else side,
-            F.col(column) == F.col(f"_{prefix}_code"),
-            "left",
-        ).drop(f"_{prefix}_code")
+        df = df.join(side, F.col(column) == F.col(f"_{prefix}_code"), "left").drop(f"_{prefix}_code")
     return df

@@ -49,12 +49,8 @@ def load_bronze(spark: SparkSession, part: Slice, staging_root: str, bronze_root
     the other counts are observed while writing.
     """
     manifests = staging.read_manifests(spark, part, staging_root)
-    listed = staging.require_manifests(
-        manifests, part, domain.MANIFEST_REQUIRED, staging_root, domain.MAX_BACKFILL_PERIODS
-    )
-    raw = staging.read_staging(
-        spark, part, staging_root, domain.SOURCE_COLUMNS, periods=sorted(m["reference_period"] for m in listed)
-    )
+    periods = staging.require_manifests(manifests, part, domain.MANIFEST_REQUIRED, staging_root)
+    raw = staging.read_staging(spark, part, staging_root, domain.SOURCE_COLUMNS, periods)
     counted = (
         raw.groupBy(F.regexp_extract("_source_file", staging.PERIOD_IN_PATH, 1).alias("reference_period"))
         .agg(F.count(F.lit(1)).alias("actual_count"))

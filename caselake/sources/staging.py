@@ -190,8 +190,8 @@ def with_lineage(raw: DataFrame, part: Slice, manifests: DataFrame, batch_id: st
                  constants: dict) -> DataFrame:
     """Snake-case columns plus period, lineage and disease tag, in one projection.
 
-    Manifest values come by a join on the period. A slice has at most a few hundred periods
-    by contract, so that side is small by construction.
+    Manifest values come by a join on the period. ``manifests`` has one row per period, that is
+    one per day or month of the calendar, so that side is small by construction.
     """
     day = temporal.strict_date(F.col(date_column))
     tag = F.coalesce(*(
@@ -225,15 +225,15 @@ def with_lineage(raw: DataFrame, part: Slice, manifests: DataFrame, batch_id: st
     return stamped.join(F.broadcast(origin), "reference_period", "left")
 
 
-def require_manifests(manifests: DataFrame, part: Slice, required, root: str, limit: int) -> list:
-    """Check the manifests of a slice and return their rows, at most ``limit`` of them."""
-    rows = manifests.limit(limit + 1).collect()
-    if not rows:
+def require_manifests(manifests: DataFrame, part: Slice, required, root: str) -> list[str]:
+    """Check the manifests of a slice, however many, and return the names of their periods.
+
+    The names are what a scan needs to list its folders; one per day or month of the calendar.
+    """
+    if manifests.isEmpty():
         raise ContractViolation("No source manifests found for the slice.")
-    if len(rows) > limit:
-        raise ContractViolation(f"More than {limit} manifests in one slice.")
     problems = manifest_problems(manifests, part, required, root).limit(20).collect()
     if problems:
         shown = ", ".join(f"{p['reference_period']}: {p['problem']}" for p in problems)
         raise ContractViolation(f"Source manifests break their contract: {shown}")
-    return rows
+    return sorted(m["reference_period"] for m in manifests.select("reference_period").distinct().collect())

@@ -24,8 +24,9 @@ def bronze_rows(spark: SparkSession, folder: str) -> DataFrame:
     raw = inputs.notifications(spark, folder).withColumn(
         "_source_file", F.expr(SOURCE_FILE.format(period="period"))
     )
-    manifests = raw.groupBy(F.col("period").alias("reference_period")).agg(
-        F.lit("extract-1").alias("batch_id"), F.lit("manifest.json").alias("manifest_uri")
+    manifests = inputs.periods(spark, folder).select(
+        F.col("period").alias("reference_period"),
+        F.lit("extract-1").alias("batch_id"), F.lit("manifest.json").alias("manifest_uri"),
     )
     return bronze.bronze_frame(raw, manifests, PART, BATCH_ID, "dev")
 
@@ -36,9 +37,10 @@ def silver_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def star_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
-    """Classified rows, written once, and the star over them."""
-    rows = materialise(silver_rows(spark, folder), "cases")
-    return rows, gold.gold_tables(gold.latest_cases(quality.split(rows)[0]))
+    """Classified rows, and the star over their latest versions, which are written once."""
+    rows = silver_rows(spark, folder)
+    latest = materialise(gold.latest_cases(quality.split(rows)[0]), "cases")
+    return rows, gold.gold_tables(latest)
 
 
 # ---------------------------------------------------------------- the same in SQL
@@ -484,6 +486,7 @@ FROM n""")
 def reconciliation(spark, folder):
     """QLT7, QLT8 with half of the fact lost: the set checks must see exactly what is missing."""
     rows, tables = star_tables(spark, folder)
+    rows = materialise(rows, "classified")
     clean, bad = quality.split(rows)
     fact = tables[domain.FACT_TABLE].filter(F.substring("record_hash", 1, 1) < "8")
     source = rows.withColumnRenamed("source_batch_id", "_batch_id")

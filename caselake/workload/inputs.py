@@ -119,6 +119,12 @@ def notifications(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Every period that may hold notifications, from the orders alone."""
+    days = read(spark, folder, "orders").selectExpr(f"{BASE['d']} AS d")
+    return days.selectExpr(f"{PERIOD_EXPR} AS period").distinct()
+
+
 def _notifications_sql() -> str:
     base = ", ".join(f"{e} AS {n}" for n, e in BASE.items())
     cells = ", ".join(

@@ -105,11 +105,14 @@ def test_batch_gate(spark):
     quality.require_batch(df.filter("b = 'b1'"), "b", "b1")
 
 
-def test_roles_join_alike_within_and_beyond_the_limit(spark):
+def test_roles_join_alike_with_and_without_broadcast(spark):
     ref = spark.createDataFrame([("1", "x"), ("2", "y")], "code string, name string")
     df = spark.createDataFrame([("1", "2"), ("3", None)], "a string, b string")
-    small = enrich.attach_roles(df, ref, {"home": "a", "desk": "b"}, "code", ("code", "name"))
-    large = enrich.attach_roles(df, ref, {"home": "a", "desk": "b"}, "code", ("code", "name"), row_limit=1)
+
+    def joined(side):
+        return enrich.attach_roles(df, side, {"home": "a", "desk": "b"}, "code", ("code", "name"))
+
+    small, large = joined(ref.hint("broadcast")), joined(ref.hint("merge"))
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert small.filter("home_name = 'x' AND desk_name = 'y'").count() == 1
 
