@@ -243,6 +243,21 @@ def test_recurring_lines_are_dropped(spark, none):
     assert line_templates.drop_lines(none).count() == 0
 
 
+def test_lines_between_recurring_or_blank_lines_are_dropped(spark):
+    foot = ["Read more on our site", "Posted by user{} on day {}", "All content belongs to the publisher", "Imprint and contact"]
+    body = [f"{w} {w}s own words of {w} fill this long line, and only the words of {w} do so\nand {w}s second line is {w} alone, as {w} has it" for w in (f"{a}{b}q" for a in "abcd" for b in "xyz")]
+    rows = [(i, f"{b}\n" + "\n".join(foot).format(i, i)) for i, b in enumerate(body)]
+    rows += [(100 + i, f"{b} elsewhere\n\nSubscribe to the weekly letter\n\nand {b} ends") for i, b in enumerate(body)]
+    # Two articles in many copies each are two documents; eight articles are eight.
+    rows += [(1000 + i, f"Article {'pq'[i % 2] * 5} tells a long story of its own\nCopied by two only\nThe end of it") for i in range(20)]
+    rows += [(2000 + i, f"Article {'stuvwxyz'[i % 8] * 5} tells a long story of its own\nCopied by eight") for i in range(80)]
+    got = {r.doc_id: r for r in line_templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].text == b and got[i].n_dropped == 4 for i, b in enumerate(body))
+    assert all("Subscribe" not in got[100 + i].text and got[100 + i].n_dropped == 1 for i in range(len(body)))
+    assert all(got[1000 + i].n_dropped == 0 for i in range(20))
+    assert all("Copied" not in got[2000 + i].text for i in range(80))
+
+
 def test_repeated_sentences_are_removed(spark, docs, none):
     got = {r.doc_id: r for r in sentence_spans.deduplicate(docs).where("doc_id < 0").collect()}
     assert got[-10].text == "Before it all. " + PASSAGE + " After it all." and got[-10].n_removed == 0
