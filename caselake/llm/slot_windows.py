@@ -4,7 +4,10 @@ Tokens of texts and benchmark items are made canonical: numbers, units behind nu
 inside a sentence become typed placeholders. Windows of ``WIDTH`` canonical tokens are joined by hash. A
 document is contaminated by an item if enough of the item's windows occur in it and the slots agree: each
 value that a slot has in the item must stand for one value in the document, as in a re-parameterised
-question; chance matches of a pattern mix values.
+question; chance matches of a pattern mix values. Slots are judged for each occurrence apart: matches whose
+places in document and item differ alike, together with those shifted by less than half the item (words put
+in or left out). The best occurrence counts, so more copies or variants never make a document clean, and
+enough windows with the item's own slot values always do for an occurrence.
 
 Null and empty texts have no windows; an item shorter than a window is one window of its own length; items
 without tokens are never found; repeated rows are found alike; empty tables give no rows. Other columns pass.
@@ -12,7 +15,7 @@ without tokens are never found; repeated rows are found alike; empty tables give
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WIDTH = 6
 LEAST_PLAIN = 4
@@ -75,6 +78,27 @@ def _prepared(df: DataFrame, text: str, *held: Column) -> DataFrame:
     return step.select(*[c for c in step.columns if c != "t"], F.transform("t", lambda t: t["raw"]).alias("raw"), _canonical(F.col("t")).alias("forms"))
 
 
+def _merged(parts: Column) -> Column:
+    """Matches of alignments near each other: the largest first, each adds the item windows that those before it lack."""
+    ordered = F.reverse(F.array_sort(F.transform(parts, lambda p: F.struct(p["n"], p["matches"]))))
+    start = F.array().cast("array<struct<item_place:int,seen:array<struct<item_slots:string,slots:string>>,same:boolean>>")
+
+    def add(held: Column, part: Column) -> Column:
+        known = F.transform(held, lambda m: m["item_place"])
+        return F.concat(held, F.filter(part["matches"], lambda m: ~F.array_contains(known, m["item_place"])))
+
+    return F.aggregate(ordered, start, add)
+
+
+def _agreement(matches: Column, coverage: float) -> Column:
+    """Values that the slots of the item have, by distinct pairs of item and document value; 0 if too few windows are there."""
+    places = F.size(F.array_distinct(F.transform(matches, lambda m: m["item_place"])))
+    seen = F.array_distinct(F.flatten(F.transform(matches, lambda m: m["seen"])))
+    asked = F.size(F.array_distinct(F.transform(seen, lambda p: p["item_slots"])))
+    agreement = F.when(F.size(seen) == 0, 1.0).otherwise(asked / F.size(seen))
+    return F.when(places >= coverage * F.col("n_windows"), agreement).otherwise(0.0)
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
     """(key, doc_id, item_id, covered, consistent) of every document and item found in it."""
     items = _prepared(benchmark, "text", F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_text"))
@@ -90,16 +114,27 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
             "window", "item_id", "item_text", "n_windows", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
         if of_items.count() <= BROADCAST_WINDOWS:
             of_items = F.broadcast(of_items)
-        found = _windows(texts, width).join(of_items, "window").select("key", "doc_id", "item_id", "item_text", "n_windows", "item_place", "item_slots", "slots")
+        found = _windows(texts, width).join(of_items, "window").select(
+            "key", "doc_id", "item_id", "item_text", "n_windows", "item_place", "item_slots", "slots", (F.col("place") - F.col("item_place")).alias("shift"))
         pairs = found if pairs is None else pairs.union(found)
     if pairs is None:
         return texts.select("key", "doc_id", F.col("doc_id").alias("item_id"), F.lit(0.0).alias("covered"), F.lit(1.0).alias("consistent")).limit(0)
     of = ["key", "doc_id", "item_id", "item_text"]
-    # One row per item window found and slot assignment; then per document and item.
-    once = pairs.groupBy(*of, "n_windows", "item_place").agg(F.collect_set(F.when(F.col("slots").isNotNull(), F.arrays_zip("item_slots", "slots"))).alias("seen"))
-    found = once.groupBy(*of).agg((F.count("*") / F.first("n_windows")).alias("covered"), F.array_distinct(F.flatten(F.flatten(F.collect_list("seen")))).alias("seen"))
-    asked = F.size(F.array_distinct(F.transform("seen", lambda p: p["item_slots"])))
-    found = found.withColumn("consistent", F.when(F.size("seen") == 0, 1.0).otherwise(asked / F.size("seen")))
+    of.append("n_windows")
+    # One row per alignment, with its item windows and their slot assignments; then per document and item.
+    pair = F.coalesce(F.arrays_zip("item_slots", "slots"), F.array().cast("array<struct<item_slots:string,slots:string>>"))
+    match = F.struct("item_place", pair.alias("seen"), F.coalesce(F.col("item_slots") == F.col("slots"), F.lit(True)).alias("same"))
+    each = pairs.groupBy(*of, "shift").agg(F.collect_set(match).alias("matches"))
+    near = Window.partitionBy(*of).orderBy((F.col("shift") * 1000 / (F.col("n_windows") + WIDTH)).cast("long")).rangeBetween(-500, 500)
+    each = each.withColumn("alone", _agreement(F.col("matches"), coverage))
+    # Only where the alignment itself does not do, the ones around it are put together.
+    each = each.withColumn("parts", F.collect_list(F.struct(F.size("matches").alias("n"), "matches")).over(near))
+    each = each.withColumn("best", F.when(F.col("alone") >= consistency, F.col("alone")).otherwise(F.greatest("alone", _agreement(_merged(F.col("parts")), coverage))))
+    found = each.groupBy(*of).agg(F.max("best").alias("best"), F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"))
+    places = lambda some: F.size(F.array_distinct(F.transform(some, lambda m: m["item_place"])))
+    found = found.withColumn("covered", places(F.col("matches")) / F.col("n_windows"))
+    same = places(F.filter("matches", lambda m: m["same"])) / F.col("n_windows")
+    found = found.withColumn("consistent", F.when(same >= coverage, 1.0).otherwise(F.greatest("best", _agreement(F.col("matches"), coverage))))
     return found.where((F.col("covered") >= coverage) & (F.col("consistent") >= consistency)).select("key", "doc_id", "item_id", "covered", "consistent")
 
 

@@ -280,6 +280,21 @@ def test_benchmark_text_is_found(spark, none):
     assert slot_windows.contaminated(none, bench).count() == slot_windows.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_benchmark_text_is_found_beside_its_variants(spark):
+    item = "A train leaves the old station at 40 km per hour and another leaves at 60 km per hour after Peter waves goodbye"
+    variant = lambda a, b, name: item.replace("40", a).replace("60", b).replace("Peter", name)
+    split = lambda text: text.replace("and another", "and then quite soon another")
+    rows = [(1, f"First: {item}. Then: {variant('35', '90', 'Maria')}."),
+            (2, f"One: {variant('35', '90', 'Maria')}. Two: {variant('25', '80', 'Anna')}. Three: {variant('15', '70', 'Olaf')}."),
+            (3, f"One: {split(variant('35', '90', 'Maria'))}. Two: {split(variant('25', '80', 'Anna'))}."),
+            (4, f"At 5 km per hour and another leaves at 7 km per hour. {item}. So at 8 km per hour and another leaves at 9 km per hour after Jo waves.")]
+    twice = "We paid 40 coins at the gate of the town and 40 coins at the door of the inn and 40 coins at the end of the road"
+    rows += [(5, f"Once {twice.replace('40', '7', 1).replace('40', '8', 1).replace('40', '9', 1)}."), (6, f"Once {twice.replace('40', '7')} and {twice.replace('40', '6')}.")]
+    bench = spark.createDataFrame([(9, item), (8, twice)], "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in slot_windows.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {1: [9], 2: [9], 3: [9], 4: [9], 6: [8]}
+
+
 def test_pipeline_stages(spark, folder):
     import corpus_pipeline
 
