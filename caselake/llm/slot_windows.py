@@ -9,6 +9,11 @@ places in document and item differ alike, together with those shifted by less th
 in or left out). The best occurrence counts, so more copies or variants never make a document clean, and
 enough windows with the item's own slot values always do for an occurrence.
 
+Only windows with ``LEAST_PLAIN`` plain tokens count, in the item as in the document. An item with fewer than
+``LEAST_WINDOWS`` of them, too few for the coverage of all its windows, is found where its whole canonical sequence
+(but for the first word of a longer one) occurs with consistent slots; with fewer than ``LEAST_PLAIN`` plain tokens in all, which any text with numbers may
+match, only with its own slot values. A currency sign before a number is a unit of its own.
+
 Null and empty texts have no windows; an item shorter than a window is one window of its own length; items
 without tokens are never found; repeated rows are found alike; empty tables give no rows. Other columns pass.
 """
@@ -19,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WIDTH = 6
 LEAST_PLAIN = 4
+LEAST_WINDOWS = 4
 COVERAGE = 0.5
 CONSISTENCY = 0.75
 BROADCAST_WINDOWS = 500_000  # about 40 MB of rows; beyond it the windows are joined by a shuffle
@@ -31,6 +37,8 @@ NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 
 def _tokens(text: Column) -> Column:
     """Tokens as {raw, ends}: without marks around them, and whether a sentence ends with them."""
+    sign = text.contains("$") | text.contains("€") | text.contains("£")
+    text = F.when(sign, F.regexp_replace(text, r"([$€£])(?=[.]?[0-9])", " $1 ")).otherwise(text)
     edge = r"^[^\p{L}\p{N}%$€£]+|[^\p{L}\p{N}%$€£]+$"
     parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"\s+"),
                         lambda w: F.struct(F.regexp_replace(w, edge, "").alias("raw"), F.substring(w, -1, 1).isin(".", "!", "?").alias("ends")))
@@ -45,6 +53,7 @@ def _canonical(tokens: Column) -> Column:
     def of(t: Column, i: Column) -> Column:
         before, head = F.get(tokens, i - 1), F.substring(t["raw"], 1, 1)
         return (F.when(_starts_digit(t["raw"]), F.lit(NUMBER))
+                .when(t["raw"].isin("$", "€", "£") & F.coalesce(_starts_digit(F.get(tokens, i + 1)["raw"]), F.lit(False)), F.lit(UNIT))
                 .when(F.coalesce(_starts_digit(before["raw"]), F.lit(False)) & F.lower(t["raw"]).isin(*UNITS), F.lit(UNIT))
                 .when((head != F.lower(head)) & (i > 0) & ~F.coalesce(before["ends"], F.lit(True)), F.lit(NAME))
                 .otherwise(F.lower(t["raw"])))
@@ -90,51 +99,61 @@ def _merged(parts: Column) -> Column:
     return F.aggregate(ordered, start, add)
 
 
-def _agreement(matches: Column, coverage: float) -> Column:
+def _agreement(matches: Column, coverage: float | Column) -> Column:
     """Values that the slots of the item have, by distinct pairs of item and document value; 0 if too few windows are there."""
     places = F.size(F.array_distinct(F.transform(matches, lambda m: m["item_place"])))
     seen = F.array_distinct(F.flatten(F.transform(matches, lambda m: m["seen"])))
     asked = F.size(F.array_distinct(F.transform(seen, lambda p: p["item_slots"])))
     agreement = F.when(F.size(seen) == 0, 1.0).otherwise(asked / F.size(seen))
-    return F.when(places >= coverage * F.col("n_windows"), agreement).otherwise(0.0)
+    return F.when(places >= F.col("n_windows") * coverage, agreement).otherwise(0.0)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
     """(key, doc_id, item_id, covered, consistent) of every document and item found in it."""
-    items = _prepared(benchmark, "text", F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_text"))
+    items = _prepared(benchmark.dropDuplicates(["item_id", "text"]), "text", F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_text"))
     items = items.where(F.size("forms") > 0).withColumn("width", F.least(F.lit(WIDTH), F.size("forms")))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 6 values at most
     text = F.col("text").cast("string")
     texts = _prepared(docs, "text", F.xxhash64("doc_id", text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"))
-    pairs = None
+    pairs, by_item = None, Window.partitionBy("item_id", "item_text")
     for width in widths:
-        of_items = _windows(items.where(F.col("width") == width).withColumn("n_windows", F.size("forms") - width + 1), width)
-        plain = F.lit(width) - F.coalesce(F.size("slots"), F.lit(0))
-        of_items = of_items.where(F.col("window").isNotNull() & (plain >= min(LEAST_PLAIN, width))).select(
-            "window", "item_id", "item_text", "n_windows", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+        plain = F.size(F.filter("forms", lambda w: ~w.isin(NUMBER, UNIT, NAME)))
+        of_items = items.where(F.col("width") == width).withColumn("total", F.size("forms") - width + 1).withColumn("bare", plain < LEAST_PLAIN)
+        of_items = _windows(of_items, width).where(F.col("window").isNotNull())
+        of_items = of_items.withColumn("enough", F.lit(width) - F.coalesce(F.size("slots"), F.lit(0)) >= min(LEAST_PLAIN, width))
+        of_items = of_items.withColumn("n_enough", F.sum(F.col("enough").cast("int")).over(by_item))
+        few = F.col("n_enough") < LEAST_WINDOWS
+        of_items = of_items.withColumn("dense", few & (F.col("n_enough") < coverage * F.col("total")))
+        # Windows side by side and the last one hold the whole sequence but its first token, whose form depends on what stands before it.
+        tiles = (F.col("place") % width == 1) | (F.col("place") == F.col("total") - 1)
+        of_items = of_items.where(F.when(F.col("dense"), tiles).otherwise(F.col("enough"))).withColumn("n_joined", F.count("*").over(by_item))
+        of_items = of_items.select(
+            "window", "item_id", "item_text", F.when(few & ~F.col("dense"), F.col("total")).otherwise(F.col("n_joined")).alias("n_windows"), "dense",
+            (F.col("dense") & F.col("bare")).alias("bare"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
         if of_items.count() <= BROADCAST_WINDOWS:
             of_items = F.broadcast(of_items)
         found = _windows(texts, width).join(of_items, "window").select(
-            "key", "doc_id", "item_id", "item_text", "n_windows", "item_place", "item_slots", "slots", (F.col("place") - F.col("item_place")).alias("shift"))
+            "key", "doc_id", "item_id", "item_text", "n_windows", "dense", "bare", "item_place", "item_slots", "slots", (F.col("place") - F.col("item_place")).alias("shift"))
         pairs = found if pairs is None else pairs.union(found)
     if pairs is None:
         return texts.select("key", "doc_id", F.col("doc_id").alias("item_id"), F.lit(0.0).alias("covered"), F.lit(1.0).alias("consistent")).limit(0)
     of = ["key", "doc_id", "item_id", "item_text"]
-    of.append("n_windows")
+    of += ["n_windows", "dense", "bare"]
     # One row per alignment, with its item windows and their slot assignments; then per document and item.
     pair = F.coalesce(F.arrays_zip("item_slots", "slots"), F.array().cast("array<struct<item_slots:string,slots:string>>"))
     match = F.struct("item_place", pair.alias("seen"), F.coalesce(F.col("item_slots") == F.col("slots"), F.lit(True)).alias("same"))
     each = pairs.groupBy(*of, "shift").agg(F.collect_set(match).alias("matches"))
     near = Window.partitionBy(*of).orderBy((F.col("shift") * 1000 / (F.col("n_windows") + WIDTH)).cast("long")).rangeBetween(-500, 500)
-    each = each.withColumn("alone", _agreement(F.col("matches"), coverage))
+    each = each.withColumn("alone", _agreement(F.col("matches"), F.when(F.col("dense"), 1.0).otherwise(coverage)))
+    each = each.withColumn("alone", F.when(F.col("bare") & F.exists("matches", lambda m: ~m["same"]), 0.0).otherwise(F.col("alone")))
     # Only where the alignment itself does not do, the ones around it are put together.
     each = each.withColumn("parts", F.collect_list(F.struct(F.size("matches").alias("n"), "matches")).over(near))
-    each = each.withColumn("best", F.when(F.col("alone") >= consistency, F.col("alone")).otherwise(F.greatest("alone", _agreement(_merged(F.col("parts")), coverage))))
+    each = each.withColumn("best", F.when(F.col("dense") | (F.col("alone") >= consistency), F.col("alone")).otherwise(F.greatest("alone", _agreement(_merged(F.col("parts")), coverage))))
     found = each.groupBy(*of).agg(F.max("best").alias("best"), F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"))
     places = lambda some: F.size(F.array_distinct(F.transform(some, lambda m: m["item_place"])))
     found = found.withColumn("covered", places(F.col("matches")) / F.col("n_windows"))
     same = places(F.filter("matches", lambda m: m["same"])) / F.col("n_windows")
-    found = found.withColumn("consistent", F.when(same >= coverage, 1.0).otherwise(F.greatest("best", _agreement(F.col("matches"), coverage))))
+    found = found.withColumn("consistent", F.when(F.col("dense"), F.col("best")).when(same >= coverage, 1.0).otherwise(F.greatest("best", _agreement(F.col("matches"), coverage))))
     return found.where((F.col("covered") >= coverage) & (F.col("consistent") >= consistency)).select("key", "doc_id", "item_id", "covered", "consistent")
 
 

@@ -295,6 +295,19 @@ def test_benchmark_text_is_found_beside_its_variants(spark):
     assert got == {1: [9], 2: [9], 3: [9], 4: [9], 6: [8]}
 
 
+def test_items_dense_in_numbers_and_money_are_found(spark):
+    dense = "Add 3 kg 4 g and 5 kg 6 g then 7 kg 8 g plus 9 kg 2 g"
+    money = "She pays $40 for apples, $60 for pears, $25 for plums and keeps the rest of the coins in a small jar"
+    bench = spark.createDataFrame([(1, dense), (2, "Compute 12 times 17"), (3, money), (3, money), (4, "What is 5 plus 7")], "item_id long, text string")
+    rows = [(1, f"Task: {dense}. Good luck."), (2, f"Task: {dense.replace('3', '11').replace('8', '13')}."), (3, f"Task: {dense.replace('plus', 'minus')}."),
+            (4, "Please compute 12 times 17 now"), (5, "Please compute 13 times 19 now"), (6, f"Here: {money.replace('40', '41').replace('60', '62').replace('25', '27')}."),
+            (7, "So what is 5 plus 7 then")]
+    got = {r.doc_id: r.item_ids for r in slot_windows.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {1: [1], 2: [1], 4: [2], 6: [3], 7: [4]}
+    forms = spark.createDataFrame([("It costs $40 or US$.50 today",)], "text string").select(slot_windows._canonical(slot_windows._tokens(F.col("text")))).first()[0]
+    assert forms == ["it", "costs", "<unit>", "<number>", "or", "<name>", "<unit>", "<number>", "today"]
+
+
 def test_pipeline_stages(spark, folder):
     import corpus_pipeline
 
