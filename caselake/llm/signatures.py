@@ -1,7 +1,7 @@
 """Licence scan with ordered signature rules.
 
-Texts become lower-case words with one blank between them. A few keywords decide whether any rule is
-tried, each rule's own keyword whether its pattern is tried. Every match is a detection with a span and
+Texts become lower-case words with one blank between them. Each rule's keyword decides whether its pattern is
+tried; a text without any rule's keyword tries none. Every match is a detection with a span and
 the rule's priority; a detection inside the span of a higher-ranked one is dropped, so that "gpl version 3
 or later" hides the "gpl" in it. All of it are expressions over the row's own text: no shuffle.
 
@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-GATE = ("licen", "copyright", "public domain", "spdx", " gpl", " cc", "creative commons", "warranty", "rights reserved", "copyleft")
 
 # Family: label, keyword, name as a pattern over lower-case words. Longer names come first.
 FAMILIES = (
@@ -91,6 +90,19 @@ PHRASES = (
     ("proprietary", 60, "rights reserved", "all rights reserved"),
     ("no-warranty", 30, "warrant", "without warrant(?:y|ies) (?:or conditions )?of any kind"),
     ("copyleft", 20, "copyleft", "copyleft"),
+    # Bodies and notices that need not name their licence.
+    ("mit", 65, "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("bsl-1", 65, "hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("isc", 65, "hereby granted", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", 64, "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", 65, "endorse or promote", "neither the names? of [a-z0-9 ]{1,120}? may be used to endorse or promote products"),
+    ("apache", 65, "in compliance with", "you may not use this (?:file|work|software) except in compliance with the licen[sc]e"),
+    ("gpl", 65, "redistribute it", "you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e"),
+    ("mpl-2", 65, "source code form", "this source code form is subject to the terms of the mozilla public licen[sc]e v ?2 0"),
+    ("unlicense", 75, "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", 65, "do what the", "do what the f[a-z]+ you want to public licen[sc]e"),
+    ("zlib", 65, "altered source", "altered source versions must be plainly marked as such"),
+    ("no-warranty", 30, "without any", "without any (?:express or implied )?warranty"),
 )
 
 
@@ -133,7 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
     step = docs.select("doc_id", F.trim(F.regexp_replace(text, NO_WORD, " ")).alias("words"))
     step = step.select("doc_id", F.when(F.col("words") == "", " ").otherwise(F.concat(F.lit(" "), "words", F.lit(" "))).alias("padded"))
     padded, gate = F.col("padded"), F.lit(False)
-    for key in GATE:
+    for key in sorted({key for _, _, key, _ in rules()}):
         gate = gate | F.contains(padded, F.lit(key))
     none = F.array().cast("array<string>")
     cuts = {f"cut{i}": F.when(F.contains(padded, F.lit(f" {p} ")), F.split(padded, f" {p}(?= )")).otherwise(none) for i, p in enumerate(BASE)}

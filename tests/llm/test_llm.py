@@ -199,6 +199,15 @@ def test_license_suppression(spark):
     assert got == {1: ("gpl-3,proprietary", 0.8), 2: ("", 0.0)} and len(signatures.rules()) > 200
 
 
+def test_license_names_and_bodies_are_found_without_other_words(spark):
+    texts = {"released under the AGPL v3": "agpl", "distributed under LGPL v3": "lgpl", "it has the 3-clause BSD": "bsd-3-clause", "as in FreeBSD": "bsd-2-clause",
+             "under 0BSD": "0bsd", "available under Apache 2.0": "apache-2", "WTFPL": "wtfpl", "MIT No Attribution": "mit-0", "without warranties of any kind": "no-warranty",
+             "Permission is hereby granted, free of charge, to any person obtaining a copy of it": "mit",
+             "Redistribution and use in source and binary forms, with or without\nmodification, are permitted": "bsd"}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in signatures.scan(rows).collect()} == dict(enumerate(texts.values()))
+
+
 def test_language_id_on_held_out_rows(docs, none):
     fold = hyperdim.held_out_fold()
     profiles = hyperdim.learn_prototypes(docs.where(~fold))
