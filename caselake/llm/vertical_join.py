@@ -192,12 +192,8 @@ def _links(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     return total.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text).
-
-    Two rows are linked where 100 * intersection >= percent * union of their shingle sets; a component's id
-    is its smallest doc_id.
-    """
+def _linked(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, s1, s2) of every row, and (node, root) of the sets that are linked with others."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     profile, _ = write_out(rows.mapInArrow(_profile(width), "hot boolean, doc_id long, n long, s1 long, s2 long"), "profile")
@@ -262,6 +258,16 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
             joined = components(links)
     drop(spark, able_path, led_path, fragments_path, *link_paths)
 
+    return sets, joined
+
+
+def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text).
+
+    Two rows are linked where 100 * intersection >= percent * union of their shingle sets; a component's id
+    is its smallest doc_id.
+    """
+    sets, joined = _linked(docs, percent, width)
     full = sets.where("n > 0")
     classes = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     classes = classes.join(joined.select(F.col("node").alias("s1"), "root"), "s1", "left")
@@ -273,14 +279,35 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
         alone.select("doc_id", "n", "component_id"))
 
 
-def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest doc_id. Rows without words all stay.
+def _marked(width: int):
+    """Each row as it is, with the size and signature of its set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in portions(batches):
+            values, sizes = shingle_sets(part.column("text"), width)
+            marks = set_signatures(values, sizes)
+            cells = (sizes, marks[:, 0], marks[:, 1])
+            yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, pa.int64()) for c in cells)], [*part.schema.names, "_n", "_s1", "_s2"])
 
-    Of several rows with that same doc_id one stays; rows with a null doc_id stay unless linked to others.
+    return run
+
+
+def keep_one(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
+    """``docs`` with one row of each component: one with the smallest doc_id. Rows without words all stay.
+
+    Rows are told apart by doc_id and set, so another text under the same doc_id stays. A null doc_id is the
+    largest; of several rows alike in both one stays.
     """
-    spark = docs.sparkSession
-    found, path = write_out(similar_components(docs, percent), "components")
-    drops = found.where("component_id != doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-    drops = drops.select("doc_id").distinct()
-    kept = docs.join(drops.withColumnRenamed("doc_id", "_drop"), docs["doc_id"].eqNullSafe(F.col("_drop")), "left_anti")
-    return kept
+    sets, joined = _linked(docs, percent, width)
+    rows = sets.where("n > 0").groupBy("doc_id", "s1", "s2").agg(F.count("*").alias("alike"))
+    rows = rows.join(joined.select(F.col("node").alias("s1"), "root"), "s1", "left")
+    # A set linked with no other is a component of its own.
+    component = (F.coalesce("root", "s1"), F.when(F.col("root").isNull(), F.col("s2")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "s1", "s2", "alike")).alias("first")
+    chosen = rows.groupBy(*component).agg(first).select("first.doc_id", "first.s1", "first.s2", "first.alike")
+    chosen, _ = write_out(chosen.toDF("_id", "_k1", "_k2", "_alike"), "chosen")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    marked = docs.mapInArrow(_marked(width), f"{schema}, _n long, _s1 long, _s2 long")
+    match = (F.col("_s1") == F.col("_k1")) & (F.col("_s2") == F.col("_k2")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    kept = marked.join(chosen.where("_alike = 1"), match, "left_semi")
+    alike = marked.join(chosen.where("_alike > 1"), match, "left_semi").dropDuplicates(["doc_id", "_s1", "_s2"])
+    return kept.union(alike).union(marked.where("_n = 0")).select(*docs.columns)

@@ -150,6 +150,13 @@ def test_keep_one_leaves_a_row_of_each_component(spark, docs):
     assert sorted(ids) == sorted({c for d, c in found.items() if d is not None})
 
 
+def test_keep_one_keeps_rows_not_ids(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcde")
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, c), (None, d), (None, d), (7, e), (7, e), (7, e), (8, ""), (8, ""), (None, None)]
+    kept = vertical_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, kept.collect())) == Counter([(1, a), (5, b), (None, c), (None, d), (7, e), (8, ""), (8, ""), (None, None)])
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 51), (None, 3)], "a long, b long")
     assert dict(components.components(links).collect()) == {**{i: 0 for i in range(21)}, 50: 50, 51: 50}
