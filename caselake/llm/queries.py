@@ -7,8 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caselake.llm import (divergence, hyperdim, line_templates, packing, page_templates, sentence_spans, signatures, slot_windows, token_planes,
-                          vertical_join)
+from caselake.llm import (block_search, divergence, filter_audit, hard_negatives, hyperdim, line_templates, oracle, packing, page_templates,
+                          sentence_spans, signatures, slot_windows, token_planes, vertical_join)
 from caselake.llm.store import new_folder
 
 BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 0
@@ -77,14 +77,28 @@ def sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_file(WORD_VOCABULARY), WORD_END)
 
 
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(read(spark, folder, "embeddings")), hard_negatives.anchors_where())
+
+
+def filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+def exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return block_search.top_k(read(spark, folder, "embeddings"), block_search.queries_where())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": decontamination, "op2_token_planes": token_output, "op3_ngram_jaccard_join": jaccard_join,
         "op4_language_id": language_id, "op5_html_extraction": html_extraction, "op6_line_dedup": line_dedup,
         "op7_quality_rules": quality_rules, "op8_substring_dedup": substring_dedup, "op9_license_scan": license_scan,
-        "op10_packing": sequence_packing,
+        "op10_packing": sequence_packing, "op11_hard_negatives": mined_negatives, "op12_filter_audit": filter_interactions,
+        "op13_exact_search": exact_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express an operator; the others are tested against brute force."""
+    return {"op11_hard_negatives": oracle.HARD_NEGATIVES, "op12_filter_audit": oracle.FILTER_AUDIT, "op13_exact_search": oracle.TOP_K}
