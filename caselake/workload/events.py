@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselake.functions import identity
 from caselake.operators.projection import bind
-from caselake.session import shared_folder, spread
-from caselake.streaming import contract, counters, pipeline, serve
+from caselake.session import materialise, shared_folder, spread
+from caselake.streaming import commits, contract, counters, pipeline, serve
 from caselake.workload.inputs import read
 from caselake.workload.registry import query
 from caselake.workload.shaping import NINE, PEOPLE_SQL, TEST_KEYS, sql_hmac
@@ -267,13 +268,89 @@ def expiry(spark, folder):
     return kept("history").unionByName(kept("counters"))
 
 
+def timed_feed(spark: SparkSession, label: str) -> tuple[pipeline.Feed, str]:
+    home = shared_folder(spark, label)
+    return pipeline.Feed("main", f"{home}/tables", TEST_KEYS, "v1"), home
+
+
+def run_timed(spark: SparkSession, feed: pipeline.Feed, home: str, sent: DataFrame) -> None:
+    """Drop messages with the time they are processed at into the inbox, and run the feed over what is new there.
+
+    Each file line is the time in microseconds, a blank and the message.
+    """
+    sent.select(F.concat_ws(" ", F.unix_micros("arrived_at"), "body")).write.mode("append").text(f"{home}/inbox")
+    lines = pipeline.read_files(spark, f"{home}/inbox").select(F.split("body", " ", 2).alias("part"))
+    stream = lines.select(
+        F.col("part")[1].alias("body"), F.timestamp_micros(F.col("part")[0].cast("long")).alias("arrived_at"))
+    pipeline.start(stream, feed, f"{home}/checkpoint", True, F.col("arrived_at")).awaitTermination()
+
+
+REPLAYED = datetime(2024, 3, 1, tzinfo=timezone.utc)
+
+
+@query("q_stream_replay", f"""
+WITH {TRIAGE_SQL}, sound AS (SELECT * FROM triage WHERE fault NOT BETWEEN 1 AND 12)
+SELECT event_id, moment AS notification_at, '2024-03-01' AS counted_on FROM sound UNION ALL
+SELECT event_id, strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ'), '2024-03-09' FROM sound WHERE CAST(event_id AS BIGINT) % 7 = 0""")
+def stream_replay(spark, folder):
+    """STR4, STR10: on day 5 and 8 events come back, as they were or an hour later.
+
+    The id refuses both on day 5. On day 8 the id is forgotten: what the history holds still counts once, what is new counts.
+    """
+    feed, home = timed_feed(spark, "replay")
+    rows = triage_rows(spark, folder)
+    later = rows.withColumn("at", F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    number = F.col("event_id").cast("long")
+    for day, sent in (
+        (0, rows),
+        (5, rows.where(number % 5 == 0).unionByName(later.where(number % 11 == 0))),
+        (8, rows.where(number % 3 == 0).unionByName(later.where(number % 7 == 0))),
+    ):
+        stamp = F.lit(REPLAYED).cast("timestamp") + F.make_dt_interval(F.lit(day))
+        run_timed(spark, feed, home, messages(sent).withColumn("arrived_at", stamp))
+    history = pipeline.table(spark, feed, "history")
+    return history.select("event_id", "notification_at", F.date_format("created_at", "yyyy-MM-dd").alias("counted_on"))
+
+
+_ENDS = "CAST(ts AS DATE) + {days} >= DATE '2024-04-15'"
+_HISTORY_LEFT, _COUNTERS_LEFT, _VAULT_LEFT = (_ENDS.format(days=pipeline.RETENTION_DAYS[k]) for k in ("history", "counters", "vault"))
+
+
+@query("q_stream_purge", f"""
+WITH {TRIAGE_SQL}, sound AS (SELECT *, CAST(event_id AS BIGINT) AS n FROM triage WHERE fault NOT BETWEEN 1 AND 12)
+SELECT 'history' AS kind, CAST(count(*) AS BIGINT) AS before_purge, CAST(count_if({_HISTORY_LEFT}) AS BIGINT) AS after_purge,
+  CAST(coalesce(sum(n) FILTER (WHERE {_HISTORY_LEFT}), 0) AS BIGINT) AS id_sum FROM sound UNION ALL
+SELECT 'counters', count(*), CAST(count_if({_COUNTERS_LEFT}) AS BIGINT), 0 FROM sound UNION ALL
+SELECT 'vault', count(DISTINCT user_id), count(DISTINCT user_id) FILTER (WHERE {_VAULT_LEFT}), 0 FROM sound""")
+def stream_purge(spark, folder):
+    """STR9, KEY8: tables of a stream before, and after compaction and the removal of all days that have ended."""
+    feed, home = timed_feed(spark, "purge")
+    sent = messages(triage_rows(spark, folder))
+    for half in (0, 1):
+        run_timed(spark, feed, home, sent.where(F.col("event_id").cast("long") % 2 == half))
+
+    def count(kind):
+        rows = pipeline.table(spark, feed, kind)
+        ids = F.sum(F.col("event_id").cast("long")) if kind == "history" else F.lit(None).cast("long")
+        size = F.sum(F.when(F.col("scope_type") == "GLOBAL", F.col("total_triages"))) if kind == "counters" else F.count(F.lit(1))
+        return rows.agg(F.coalesce(size, F.lit(0)).alias("n"), F.coalesce(ids, F.lit(0)).alias("id_sum")).withColumn("kind", F.lit(kind))
+
+    kinds = ("history", "counters", "vault")
+    before = materialise(reduce(DataFrame.unionByName, map(count, kinds)), "purge")
+    pipeline.compact(spark, feed)
+    commits.vacuum(spark, feed.root, pipeline.SCHEMAS, feed.name)
+    pipeline.purge(spark, feed, EXPIRY_AS_OF)
+    after = reduce(DataFrame.unionByName, map(count, kinds))
+    return before.select("kind", F.col("n").alias("before_purge")).join(after.select("kind", F.col("n").alias("after_purge"), "id_sum"), "kind")
+
+
 def run_stream(spark: SparkSession, folder: str, label: str) -> pipeline.Feed:
     """Write the messages as files, some of them twice and out of order, and run the feed."""
     home = shared_folder(spark, label)
     sent = messages(triage_rows(spark, folder))
     twice = sent.unionByName(sent.filter(F.col("event_id").cast("long") % 5 == 0))
     twice.repartition(4, F.xxhash64("body", F.rand(7))).select("body").write.text(f"{home}/inbox")
-    feed = pipeline.Feed("main", f"{home}/tables", TEST_KEYS, "v1")
+    feed = pipeline.Feed("main", f"{home}/tables", TEST_KEYS, "v1", exact=False)
     stream = pipeline.read_files(spark, f"{home}/inbox", max_files=2)
     pipeline.start(stream, feed, f"{home}/checkpoint", available_now=True).awaitTermination()
     return feed
