@@ -224,6 +224,7 @@ def _linked(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataF
     part = F.shiftrightunsigned("x", 64 - FRAGMENT_BITS)
     fragments = able.select("s1", F.explode("shared").alias("x")).groupBy("s1", part.alias("fragment")).agg(F.collect_list("x").alias("part"))
     fragments, fragments_path = write_out(fragments, "fragments")
+    drop(spark, able_path)  # the same lists stand in the fragments
 
     links, *link_paths = write_out(_links(_pairs(led.where(_fits("m", "leader", percent)), "m", "leader"), fragments, percent), "links")
     joined = components(links)
@@ -256,7 +257,7 @@ def _linked(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataF
         if more.limit(1).count():
             links = links.union(more)
             joined = components(links)
-    drop(spark, able_path, led_path, fragments_path, *link_paths)
+    drop(spark, led_path, fragments_path, *link_paths)
 
     return sets, joined
 
