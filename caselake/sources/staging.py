@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from caselake.functions import temporal
 from caselake.functions.text import snake_name
+from caselake.sources import paths
 from caselake.sources.periods import period_of
 from caselake.specs import ContractViolation, Slice
 
@@ -26,14 +27,17 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
-def write_staging(records: DataFrame, day: str, order, part: Slice, root: str, columns) -> None:
+def write_staging(records: DataFrame, day: str, order, part: Slice, root: str, columns) -> list[str]:
     """Extract periods as gzip JSON lines, one folder per period, sorted by date and id.
 
     Rows move by period range, so a large period is cut into several files instead of going
     through one task; every file is in order and the files of a period follow each other.
-    NULL fields stay in the file, as a reader with the full contract expects.
+    NULL fields stay in the file, as a reader with the full contract expects. Returns the periods written, which are
+    observed on the way, one name per day or month of the calendar.
     """
-    out = records.withColumn("reference_period", period_of(F.col(day), part.granularity))
+    seen = Observation("staged")
+    out = records.withColumn("reference_period", period_of(F.col(day), part.granularity)).where("reference_period IS NOT NULL")
+    out = out.observe(seen, F.collect_set("reference_period").alias("periods"))
     keys = ["reference_period", day, *order]
     (
         out.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -45,6 +49,16 @@ def write_staging(records: DataFrame, day: str, order, part: Slice, root: str, c
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .json(Slice(part.processing_date, part.granularity).under(root))
     )
+    return sorted(seen.get["periods"])
+
+
+def completed_periods(spark: SparkSession, part: Slice, root: str) -> list[str]:
+    """Periods of the slice's day whose manifest says they are complete."""
+    day = Slice(part.processing_date, part.granularity)
+    if not paths.exists(spark, day.under(manifest_root(root))):
+        return []
+    done = read_manifests(spark, day, root).where("status = 'SUCCEEDED'").select("reference_period").distinct()
+    return sorted(r[0] for r in done.collect())
 
 
 def _combined_digest(digest) -> Column:
@@ -56,8 +70,8 @@ def _combined_digest(digest) -> Column:
     return F.sha2(F.concat_ws(":", *quarters), 256)
 
 
-def audit_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Per period: files, lines, compressed bytes and digest.
+def audit_files(spark: SparkSession, folder) -> DataFrame:
+    """Per period below a folder or several: files, lines, compressed bytes and digest.
 
     Lines come from the decompressing text scan, which fails on a truncated gzip file.
     A period with one file has that file's SHA-256, a period with several a combination of

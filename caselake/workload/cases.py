@@ -19,16 +19,16 @@ RUN = silver.SilverRun(BATCH_ID, AS_OF)
 SOURCE_FILE = "'staging/reference_period=' || {period} || '/part.json.gz'"
 
 
-def bronze_rows(spark: SparkSession, folder: str) -> DataFrame:
+def bronze_rows(spark: SparkSession, folder: str, part: Slice = PART, batch_id: str = BATCH_ID, which: str = "true") -> DataFrame:
     """Notifications as Bronze holds them, without the trip through files."""
-    raw = inputs.notifications(spark, folder).withColumn(
+    raw = inputs.notifications(spark, folder, which).withColumn(
         "_source_file", F.expr(SOURCE_FILE.format(period="period"))
     )
     manifests = inputs.periods(spark, folder).select(
         F.col("period").alias("reference_period"),
         F.lit("extract-1").alias("batch_id"), F.lit("manifest.json").alias("manifest_uri"),
     )
-    return bronze.bronze_frame(raw, manifests, PART, BATCH_ID, "dev")
+    return bronze.bronze_frame(raw, manifests, part, batch_id, "dev")
 
 
 def silver_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -109,9 +109,12 @@ NOTIFICATION = {
 PERIOD_EXPR = "substring(CAST(d AS STRING), 1, 7)"
 
 
-def notifications(spark: SparkSession, folder: str) -> DataFrame:
-    """One notification per line item: all source columns as text, and the day it is filed under."""
-    base = spread_lines(spark, folder).selectExpr(*(f"{e} AS {n}" for n, e in BASE.items()))
+def notifications(spark: SparkSession, folder: str, which: str = "true") -> DataFrame:
+    """One notification per line item: all source columns as text, and the day it is filed under.
+
+    ``which`` is a condition over ``BASE``: the notifications that one of several batches brings.
+    """
+    base = spread_lines(spark, folder).selectExpr(*(f"{e} AS {n}" for n, e in BASE.items())).where(which)
     return base.selectExpr(
         *(f"{NOTIFICATION.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in domain.SOURCE_COLUMNS),
         "d AS filed_on",
@@ -125,18 +128,18 @@ def periods(spark: SparkSession, folder: str) -> DataFrame:
     return days.selectExpr(f"{PERIOD_EXPR} AS period").distinct()
 
 
-def _notifications_sql() -> str:
+def notifications_sql(which: str = "true") -> str:
     base = ", ".join(f"{e} AS {n}" for n, e in BASE.items())
     cells = ", ".join(
         f"{NOTIFICATION.get(c, 'CAST(NULL AS STRING)')} AS {c.lower()}" for c in domain.SOURCE_COLUMNS
     )
     return (
-        f"base AS (SELECT {base} FROM {LINES_SQL}),\n"
+        f"base AS (SELECT * FROM (SELECT {base} FROM {LINES_SQL}) WHERE {which}),\n"
         f"notif AS (SELECT {cells}, d AS filed_on, {PERIOD_EXPR} AS reference_period FROM base)"
     )
 
 
-NOTIFICATIONS_SQL = _notifications_sql()
+NOTIFICATIONS_SQL = notifications_sql()
 
 
 # ---------------------------------------------------------------- municipality reference

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("shaping", "layers", "cases", "events", "files")
+_MODULES = ("shaping", "layers", "cases", "increments", "events", "files")
 
 
 def query(name: str, sql: str | None = None):
