@@ -233,6 +233,8 @@ def _linked(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataF
         node = joined.select(F.col("node").alias("s1"), "root")
         mine = led.select("shingle", "m", "leader", F.col("m.s1").alias("s1")).join(node, "s1", "left").withColumn("root", F.coalesce("root", "s1"))
         mine = mine.withColumn("main", F.max(F.when(F.col("s1") == F.col("leader.s1"), F.col("root"))).over(by_list))
+        # A list whose sets are all in the leader's component has nothing left to compare.
+        mine = mine.withColumn("open", F.max(F.col("root") != F.col("main")).over(by_list)).where("open")
         mine, mine_path = write_out(mine.select("shingle", "s1", "m", "leader", "root", "main"), "joined")
         apart = mine.where("root != main")
         if not apart.limit(1).count():
