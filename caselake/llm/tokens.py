@@ -22,6 +22,7 @@ _PLAIN = re.compile(rf"{_LETTERS}[.,]?(?:\n{_LETTERS}[.,]?)*\Z").match
 _PARTS = re.compile(rf"{_LETTERS}|[.,]|\n").findall
 # White space inside a piece that a byte-level tokenizer joins across the piece's own borders or in runs.
 _ODD = re.compile(r"\A\Z|\A\s|\s\Z").search
+_WHOLE = ("",)  # a piece that is never encoded apart
 _SEPARATORS = re.compile("[\x1c-\x1f]").search  # blanks to Python, not to the tokenizers
 
 
@@ -46,7 +47,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
+        # A text that spells a special token is encoded as a whole, so that the token is found as the library finds it.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         vocabulary = self.tokenizer.get_vocab()
         self.names = [""] * (max(vocabulary.values()) + 1)
         for name, number in vocabulary.items():
@@ -98,7 +100,8 @@ class PieceEncoder:
     def _parts(self, key) -> tuple[str, ...]:
         """What of a piece is encoded apart; nothing where the pieces around it may not be encoded apart."""
         if not self.byte_level:
-            return () if key.__class__ is tuple else tuple(_PARTS(key)) if _PLAIN(key) else (key,)
+            # Lower case may turn one letter into a letter and a mark, which belongs to what follows.
+            return () if key.__class__ is tuple else tuple(_PARTS(key)) if _PLAIN(key) and _PLAIN(key.lower()) else (key,)
         text, lead = (key[0], "") if key.__class__ is tuple else (key, " ")
         if _PLAIN(text):
             first, *others = _PARTS(text)
@@ -124,7 +127,9 @@ class PieceEncoder:
             self._clear()
         get, rows, counts = self.index.__getitem__, [], []
         for text in texts:
-            if self.byte_level:
+            if any(map(text.__contains__, self.special)):
+                pieces = [_WHOLE]
+            elif self.byte_level:
                 pieces = text.split(" ")
                 pieces[0] = (pieces[0],)
             else:

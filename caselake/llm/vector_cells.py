@@ -137,8 +137,12 @@ def same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def largest_score(a: np.ndarray, b: np.ndarray) -> int:
     """A bound of every absolute score, refused where 64 bits might not hold it."""
-    most = [int(max(abs(int(m.min())), abs(int(m.max())))) if m.size else 0 for m in (a, b)]
-    bound = most[0] * most[1] * a.shape[1]
+    if not a.size or not b.size:
+        return 0
+    most = [max(abs(int(m.min())), abs(int(m.max()))) for m in (a, b)]
+    # The greatest sum of a row's magnitudes, in doubles with room for their rounding.
+    sums = [int(np.abs(m.astype(np.float64)).sum(axis=1).max() * (1 + 1e-9)) + 1 for m in (a, b)]
+    bound = min(sums[0] * most[1], sums[1] * most[0])
     if bound >= EXACT_LONG:
         raise OverflowError("Inner products may pass 64 bits.")
     return bound

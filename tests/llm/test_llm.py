@@ -42,7 +42,6 @@ def encoded(name, texts, end):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.tokenizer_file(name))
-    tokenizer.encode_special_tokens = True
     return [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [end], "<u4") for t in texts]
 
 
@@ -59,6 +58,25 @@ def test_token_planes_round_trip(spark, docs, none, texts, bits, tmp_path):
     assert token_planes.token_digests(spark, str(tmp_path / "e")).count() == 0
 
 
+PARTS = ["a", "B", "word", "İ", "İstanbul", "ı", "ß", "e\u0301", "é", "漢字", "🙂", "1", "23", "_", "²", ".", ",", "!", "'s", "\n", "\n\n", " ", "  ", "\t", "\r\n",
+         "\u00a0", "\u2028", "\x1c", "\x00", "<|endoftext|>", "<|startoftext|>", "<|endoftext|", "</w>", "Ġ", "ﬁ", "\u0307", "-", "zz", "of"]
+
+
+@pytest.mark.parametrize("name", [queries.BYTE_VOCABULARY, queries.WORD_VOCABULARY])
+def test_ids_equal_the_plain_call(name):
+    from tokenizers import Tokenizer
+
+    from caselake.llm.tokens import PieceEncoder
+
+    pick = np.random.default_rng(3)
+    odd = ["".join(PARTS[i] + " " * int(pick.integers(2)) for i in pick.integers(len(PARTS), size=pick.integers(14))) for _ in range(10_000)]
+    odd += ["İ,", "İstanbul İ, a", "wordİ, x", ""]
+    file = queries.tokenizer_file(name)
+    want = [e.ids for e in Tokenizer.from_file(file).encode_batch(odd, add_special_tokens=False)]
+    got = [p.tolist() for _, flat, sizes in PieceEncoder(file).encode(odd) for p in np.split(flat, np.cumsum(sizes)[:-1])]
+    assert got == want
+
+
 def test_packing_covers_every_id_once(docs, none, texts):
     file = queries.tokenizer_file(queries.WORD_VOCABULARY)
     rows = packing.pack(docs, file, 2, 512).collect()
