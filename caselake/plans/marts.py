@@ -47,6 +47,44 @@ def publish_marts(tables: dict, prefix: str = "") -> list[str]:
     return publish_views(tables | {"cases_enriched": cases} | monthly_views(cases), prefix)
 
 
+def catalog_sql(folders: dict, database: str, prefix: str = "") -> dict[str, str]:
+    """Name and text of every view over the folders of one snapshot, base tables first.
+
+    The texts name other views and folders only, so any session of the catalog can read them.
+    """
+    def named(table: str) -> str:
+        return f"`{database}`.`{prefix}{table}`"
+
+    def listed(alias: str, names) -> list[str]:
+        return [f"{alias}.`{n}`" for n in names]
+
+    base = {name: f"SELECT * FROM parquet.`{path}`" for name, path in folders.items() if name != domain.FACT_TABLE}
+    # Month folders read as text or as numbers, by session.
+    fact = (
+        "SELECT * EXCEPT (notification_month), lpad(CAST(notification_month AS STRING), 2, '0') AS notification_month"
+        f" FROM parquet.`{folders[domain.FACT_TABLE]}`"
+    )
+    columns = [
+        *listed("f", (domain.GRAIN, "environment")), *listed(domain.DISEASE.table, domain.DISEASE.attributes),
+        "day.calendar_date AS notification_date", *listed("f", (*PERIOD, "notification_epidemiological_week")),
+        *(f"place.`{a}` AS `residence_{a}`" for a in domain.LOCATION_ATTRIBUTES),
+        *listed(domain.DEMOGRAPHIC.table, domain.DEMOGRAPHIC.attributes), *listed(domain.CLINICAL.table, domain.CLINICAL.attributes),
+        *listed("f", (*domain.MEASURES, "data_quality_status", "quality_warning_codes", "gold_loaded_at")),
+    ]
+    joins = " ".join(f"JOIN {named(d.table)} AS {d.table} ON f.{d.key} = {d.table}.{d.key}" for d in domain.JUNK_DIMENSIONS)
+    cases = (
+        f"SELECT {', '.join(columns)} FROM {named(domain.FACT_TABLE)} AS f"
+        f" JOIN {named('dim_date')} AS day ON f.notification_date_key = day.date_key"
+        f" JOIN {named('dim_location')} AS place ON f.residence_location_key = place.location_key {joins}"
+    )
+    monthly = {
+        v.name: f"SELECT {', '.join([f'`{source}` AS `{name}`' for name, source in v.keys.items()] + [f'sum(`{m}`) AS `{m}`' for m in v.measures])}"
+                f" FROM {named('cases_enriched')} GROUP BY {', '.join(f'`{source}`' for source in v.keys.values())}"
+        for v in domain.MONTHLY_VIEWS
+    }
+    return base | {domain.FACT_TABLE: fact, "cases_enriched": cases} | monthly
+
+
 # Report column to the measure it sums.
 _TOTALS = {
     "notifications": "notification_count", "confirmed_cases": "confirmed_case_count",
