@@ -15,7 +15,7 @@ CHECKED = (
     "q_backfill_plan", "q_dim_date", "q_dim_junk", "q_monthly_by_nation", "q_report_band_rate",
     "q_star_enriched", "q_case_codes", "q_gold_enriched", "q_acceptance", "q_reconcile",
     "q_event_contract", "q_minute_counters", "q_state_ranking", "q_manifest_closure",
-    "q_csv_intake", "q_stream_counters",
+    "q_csv_intake", "q_csv_ledger", "q_extract_skip", "q_stream_counters", "q_stream_replay",
 )
 
 
