@@ -1,10 +1,10 @@
 """Set similarity join of documents on word shingles, by vertical partitioning.
 
-The global order of the shingles (rare before frequent) is cut by hash range into fragments. A fragment's
-task counts in how many sets each of its shingles occurs. A set can only be linked if enough of its
-shingles occur elsewhere; the few sets left are ordered, and two sets are compared only if they share a
-shingle of their prefixes at places that still allow the threshold (length and place filter). A pair's
-overlap is counted fragment by fragment and summed.
+Tasks count, by hash range, in how many sets each shingle occurs; that gives the global order, rare before
+frequent. A set can only be linked if enough of its shingles occur elsewhere. The shared shingles of the few
+sets left are ordered and cut into fragments: stretches of the global order that end at fixed frequencies, the
+same for all sets. Two sets are compared only if they share a shingle of their prefixes at places that still
+allow the threshold (length and place filter). A pair's overlap is counted fragment by fragment and summed.
 
 Groups of copies stay small: equal sets are one class from the start, and inside a list of sets that share
 a shingle each is first compared with one leader only, then, if it is not yet in the leader's component, with
@@ -33,7 +33,8 @@ from caselake.llm.shingles import portions, set_signatures, shingle_sets
 from caselake.llm.store import drop, write_out
 
 SHINGLES_PER_BUCKET = 1_500_000
-FRAGMENT_BITS = 2
+# A fragment ends behind the shingles that occur in this many sets; the last one holds all more frequent ones.
+FRAGMENT_ENDS = (2, 8, 64)
 LINKING_TURNS = 2
 LISTS_PER_TURN = 4
 HOT_SHINGLES = 50_000
@@ -137,7 +138,9 @@ def _frequencies(table: pa.Table) -> pa.Table:
 
 
 def _order(hot: np.ndarray, hot_counts: np.ndarray, percent: int):
-    """Of a stretch: each set that can be linked, its shared shingles in global order after its own ones."""
+    """Of a stretch: each set that can be linked, its shared shingles in global order, cut into fragments."""
+    width = len(FRAGMENT_ENDS) + 1
+
     def run(table: pa.Table) -> pa.Table:
         head = next(r for r in table.to_pylist() if r["s1"])
         marks = np.frombuffer(head["s1"], "<i8")
@@ -156,11 +159,12 @@ def _order(hot: np.ndarray, hot_counts: np.ndarray, percent: int):
         keep = enough[owner]
         value, owner, count = value[keep], owner[keep], count[keep]
         order = np.lexsort((value, count, owner))
-        value, owner = value[order], owner[order]
-        cuts = np.searchsorted(owner, np.arange(len(marks) + 1))
+        value, cell = value[order], owner[order] * width + np.searchsorted(FRAGMENT_ENDS, count[order])
         chosen = np.flatnonzero(enough)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.diff(cuts)[chosen])), pa.int32()), pa.array(value.view(np.int64)))
-        return pa.table([pa.array(marks[chosen], pa.int64()), pa.array(total[chosen].astype(np.int64)), lists], names=["s1", "n", "shared"])
+        sizes = np.bincount(cell, minlength=len(marks) * width).reshape(-1, width)[chosen].ravel()
+        parts = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(value.view(np.int64)))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(chosen) + 1) * width, pa.int32()), parts)
+        return pa.table([pa.array(marks[chosen], pa.int64()), pa.array(total[chosen].astype(np.int64)), lists], names=["s1", "n", "parts"])
 
     return run
 
@@ -182,10 +186,13 @@ def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     ).distinct()
 
 
-def _links(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, able: DataFrame, percent: int) -> DataFrame:
     """Pairs at or above the threshold: overlaps counted in each fragment, then summed."""
-    of_a = fragments.select(F.col("s1").alias("a"), "fragment", F.col("part").alias("part_a"))
-    of_b = fragments.select(F.col("s1").alias("b"), "fragment", F.col("part").alias("part_b"))
+    def side(name: str) -> DataFrame:
+        cut = able.select(F.col("s1").alias(name), F.posexplode("parts").alias("fragment", f"part_{name}"))
+        return cut.where(F.size(f"part_{name}") > 0)
+
+    of_a, of_b = side("a"), side("b")
     met = pairs.join(of_a, "a").join(of_b, ["b", "fragment"])
     partial = met.select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).alias("common"))
     total = partial.groupBy("a", "b").agg(F.sum("common").alias("common"), F.first("na").alias("na"), F.first("nb").alias("nb"))
@@ -209,24 +216,21 @@ def _linked(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataF
     spread = rows.mapInArrow(_spread(width, buckets, hot), "bucket long, stretch long, s1 binary, sizes binary, shingles binary")
     shared = spread.groupBy("bucket").applyInArrow(_frequencies, "stretch long, s1 binary, owners binary, shingles binary, counts binary")
     ordered = shared.groupBy("stretch").applyInArrow(
-        _order(hot, hot_counts, percent), "s1 long, n long, shared array<long>")
+        _order(hot, hot_counts, percent), "s1 long, n long, parts array<array<long>>")
     able, able_path = write_out(ordered.dropDuplicates(["s1"]), "able")
 
-    singles = F.col("n") - F.size("shared")
+    shared = F.flatten("parts")
+    singles = F.col("n") - F.size(shared)
     prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-    in_prefix = F.slice("shared", F.lit(1), F.greatest(F.lit(0), prefix - singles).cast("int"))
+    in_prefix = F.slice(shared, F.lit(1), F.greatest(F.lit(0), prefix - singles).cast("int"))
     places = able.select("s1", "n", singles.alias("singles"), F.posexplode(in_prefix).alias("k", "shingle"))
     places = places.select("shingle", F.struct("s1", "n", (F.col("singles") + F.col("k")).alias("pos")).alias("m"))
     # The leader has the fewest rarer shingles before this one: the likely origin of a group of near copies.
     places = places.withColumn("rank", F.struct("m.pos", "m.n", "m.s1"))
     led = places.withColumn("leader", F.min("rank").over(Window.partitionBy("shingle"))).drop("rank")
     led, led_path = write_out(led, "places")
-    part = F.shiftrightunsigned("x", 64 - FRAGMENT_BITS)
-    fragments = able.select("s1", F.explode("shared").alias("x")).groupBy("s1", part.alias("fragment")).agg(F.collect_list("x").alias("part"))
-    fragments, fragments_path = write_out(fragments, "fragments")
-    drop(spark, able_path)  # the same lists stand in the fragments
 
-    links, *link_paths = write_out(_links(_pairs(led.where(_fits("m", "leader", percent)), "m", "leader"), fragments, percent), "links")
+    links, *link_paths = write_out(_links(_pairs(led.where(_fits("m", "leader", percent)), "m", "leader"), able, percent), "links")
     joined = components(links)
     by_list, by_set = Window.partitionBy("shingle"), Window.partitionBy("s1")
     for turn in range(LINKING_TURNS + 1):
@@ -253,13 +257,13 @@ def _linked(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataF
             rest = mine.select("shingle", F.col("m").alias("y"), F.col("root").alias("root_y"), "leader")
             other = apart.join(rest, "shingle").where((F.col("root_x") != F.col("root_y")) & (F.col("y.s1") != F.col("leader.s1")) & _fits("x", "y", percent))
             pairs = _pairs(other, "x", "y")
-        more, path = write_out(_links(pairs, fragments, percent), "links")
+        more, path = write_out(_links(pairs, able, percent), "links")
         link_paths.append(path)
         drop(spark, mine_path)
         if more.limit(1).count():
             links = links.union(more)
             joined = components(links)
-    drop(spark, led_path, fragments_path, *link_paths)
+    drop(spark, led_path, able_path, *link_paths)
 
     return sets, joined
 
