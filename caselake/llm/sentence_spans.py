@@ -6,7 +6,8 @@ one of ``LONG_WORDS`` words. Runs are compared by a 64-bit hash of their words i
 the first by (doc_id, place) stays; sentences that any other occurrence covers are removed.
 
 Null and empty texts have no sentences; a null doc_id sorts first; rows with the same doc_id and text count
-as one document, so none of them is emptied by the other; an empty table gives no rows; other columns pass.
+as one document, so none of them is emptied by the other; an empty table gives no rows; other columns pass,
+but n_sentences, n_removed and first_docs are replaced by the results.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from caselake.llm.store import write_out
+from caselake.llm.store import field, others, write_out
 
 RUN_WORDS = 24
 LONG_WORDS = 40
@@ -104,11 +106,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, only_changed: bool = False) -> DataFrame:
     """``docs`` without repeated sentences, with first_docs, n_sentences and n_removed; or only the rows that lost some."""
     spans = repeated_spans(docs).select(F.col("key").alias("_key"), "spans", "first_docs")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"), F.col("text").cast("string").alias("text"),
+    kept = others(docs, "text", "n_sentences", "n_removed", "first_docs")
+    rows = docs.select(F.struct(*map(field, kept)).alias("row"), F.col("text").cast("string").alias("text"),
                        F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("_key"))
     joined = rows.join(spans, "_key", "inner" if only_changed else "left")
     none = F.array().cast("array<struct<start:int,size:int>>")
     joined = joined.select("row", F.coalesce("first_docs", F.array().cast("array<bigint>")).alias("first_docs"), "text", F.coalesce("spans", none).alias("spans"))
-    row = joined.schema["row"].dataType.simpleString()
-    cleaned = joined.mapInArrow(_cut, f"row {row}, first_docs array<bigint>, n_sentences long, n_removed long, cleaned string")
+    schema = StructType([joined.schema["row"], joined.schema["first_docs"]]).add("n_sentences", "long").add("n_removed", "long").add("cleaned", "string")
+    cleaned = joined.mapInArrow(_cut, schema)
     return cleaned.select("row.*", F.col("cleaned").alias("text"), "n_sentences", "n_removed", "first_docs")

@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from caselake.llm.store import free_prefix
+
 WIDTH = 6
 LEAST_PLAIN = 4
 LEAST_WINDOWS = 4
@@ -167,6 +169,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows."""
-    found = contaminations(docs, benchmark).select(F.col("key").alias("_key")).distinct()
-    rows = docs.withColumn("_key", F.xxhash64("doc_id", F.col("text").cast("string")))
-    return rows.join(found, "_key", "left_anti").drop("_key")
+    key = f"{free_prefix(docs)}key"
+    found = contaminations(docs, benchmark).select(F.col("key").alias(key)).distinct()
+    rows = docs.withColumn(key, F.xxhash64("doc_id", F.col("text").cast("string")))
+    return rows.join(found, key, "left_anti").drop(key)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -25,6 +25,25 @@ def write_out(df: DataFrame, label: str, compression: str = "zstd") -> tuple[Dat
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def others(docs: DataFrame, *own: str) -> list[str]:
+    """Columns of ``docs`` that are not named like one of ``own``; Spark's names ignore case."""
+    return [c for c in docs.columns if c.lower() not in own]
+
+
+def field(name: str, of: str | None = None) -> Column:
+    """A column by its exact name, whatever characters are in it."""
+    quoted = f"`{name.replace('`', '``')}`"
+    return F.col(f"{of}.{quoted}" if of else quoted)
+
+
+def free_prefix(docs: DataFrame) -> str:
+    """A prefix that no column of ``docs`` starts with."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete folders that this package wrote and no later step reads."""
     jvm = spark._jvm

@@ -27,10 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from caselake.llm.components import components
 from caselake.llm.shingles import portions, set_signatures, shingle_sets
-from caselake.llm.store import drop, write_out
+from caselake.llm.store import drop, field, others, write_out
 
 SHINGLES_PER_BUCKET = 1_500_000
 # A fragment ends behind the shingles that occur in this many sets; the last one holds all more frequent ones.
@@ -293,7 +294,7 @@ def _marked(width: int):
             values, sizes = shingle_sets(part.column("text"), width)
             marks = set_signatures(values, sizes)
             cells = (sizes, marks[:, 0], marks[:, 1])
-            yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, pa.int64()) for c in cells)], [*part.schema.names, "_n", "_s1", "_s2"])
+            yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, pa.int64()) for c in cells)], [*part.schema.names, "n", "s1", "s2"])
 
     return run
 
@@ -311,10 +312,12 @@ def keep_one(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     component = (F.coalesce("root", "s1"), F.when(F.col("root").isNull(), F.col("s2")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "s1", "s2", "alike")).alias("first")
     chosen = rows.groupBy(*component).agg(first).select("first.doc_id", "first.s1", "first.s2", "first.alike")
-    chosen, _ = write_out(chosen.toDF("_id", "_k1", "_k2", "_alike"), "chosen")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    marked = docs.mapInArrow(_marked(width), f"{schema}, _n long, _s1 long, _s2 long")
-    match = (F.col("_s1") == F.col("_k1")) & (F.col("_s2") == F.col("_k2")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-    kept = marked.join(chosen.where("_alike = 1"), match, "left_semi")
-    alike = marked.join(chosen.where("_alike > 1"), match, "left_semi").dropDuplicates(["doc_id", "_s1", "_s2"])
-    return kept.union(alike).union(marked.where("_n = 0")).select(*docs.columns)
+    chosen, _ = write_out(chosen.toDF("id", "k1", "k2", "alike"), "chosen")
+    # Each row travels as one struct, so its columns may have any name.
+    packed = docs.select(F.struct(*map(field, others(docs, "text"))).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = packed.mapInArrow(_marked(width), StructType([*packed.schema.fields]).add("n", "long").add("s1", "long").add("s2", "long"))
+    match = (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    kept = marked.join(chosen.where("alike = 1"), match, "left_semi")
+    alike = marked.join(chosen.where("alike > 1"), match, "left_semi").dropDuplicates(["doc_id", "s1", "s2"])
+    rows = kept.union(alike).union(marked.where("n = 0"))
+    return rows.select(*(F.col("text") if c.lower() == "text" else field(c, "row").alias(c) for c in docs.columns))
