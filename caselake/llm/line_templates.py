@@ -1,9 +1,13 @@
 """Recurring line templates, found with a fixed-depth tree.
 
 A line's tokens are generalised by kind: tokens with a digit, addresses and links become one placeholder. The
-tree's levels are the number of tokens, then the ``DEPTH`` leading tokens; a leaf holds templates. Lines of up to
-``SHORT`` tokens also stand for the templates in which one token behind the leading ones is variable, so that a
-line that differs in one name falls into the same template.
+tree's levels are the number of tokens, then the ``DEPTH`` leading tokens; a leaf holds templates. Lines of
+``LEAST_TOKENS`` and more also stand for the templates in which one token behind the leading ones is variable, so that
+a line that differs in one name falls into the same template, however long it is.
+
+Lines that differ in one token have one half in common, so a line is first known by itself and its two halves. Only
+where a half stands in ``min_docs`` lines, not all the same, are the templates with a variable token in the other half
+written down: no other such template can recur, or all its lines are equal and recur as they are.
 
 A template recurs if at least ``min_docs`` different documents have it, wherever it stands in them. Copies of one
 document count once: a document is known by its rarest lines, those that the fewest documents have. Its lines are
@@ -21,7 +25,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from caselake.llm.store import field, others, write_out
 
 DEPTH = 3
-SHORT = 16
 LEAST_TOKENS = 5
 MIN_DOCS = 8
 ANY = "<*>"
@@ -44,32 +47,72 @@ def _tokens(line: Column) -> Column:
     return F.when(line.rlike("[0-9@]|://"), masked).otherwise(F.transform(tokens, lambda t, i: F.xxhash64(t, i)))
 
 
+def _plain(text: Column) -> Column:
+    plain = F.coalesce(text, F.lit(""))
+    for blank in BLANKS:
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
+    return plain
+
+
+# Levels of the tree: number of tokens, leading tokens. A template is a hash of its branch and of its other tokens; the
+# tokens carry their places, so they are joined by exclusive or, and without one of them is the number without it.
+def _branch() -> Column:
+    return F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH))
+
+
+def _cut() -> Column:
+    """Where a line's back begins; its front lies between the leading tokens and here."""
+    return F.greatest(F.lit(DEPTH), F.lit(DEPTH) + F.shiftright(F.size("tokens") - DEPTH, 1))
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(key, line, raws, templates): a line's number and all its templates, the first one without a variable word.
+    """(key, line, raws, whole, front, back): a line's number, its template without a variable word, and its halves behind
+    the leading tokens (null for lines of fewer than ``LEAST_TOKENS``).
 
     The first line of a document also has the hashes of the document's distinct lines as they are (``raws``).
-    A line's tokens are hashed once, each with its place, and joined by exclusive or: the template in which
-    token i is variable is that number without token i. Tokens are tested one by one, as a pattern over a
+    A line's tokens are hashed once, each with its place. Tokens are tested one by one, as a pattern over a
     whole line tries every start in it.
     """
     text = F.col("text").cast("string")
-    plain = F.coalesce(text, F.lit(""))
-    for blank in BLANKS:
-        plain = F.replace(plain, F.lit(blank), F.lit(" "))
-    split = F.split(plain, "\n")
+    split = F.split(_plain(text), "\n")
     raws = F.array_remove(F.array_distinct(F.transform(split, lambda t: F.xxhash64(F.trim(t)))), F.xxhash64(F.lit("")))
     rows = docs.select(F.xxhash64("doc_id", text).alias("key"), raws.alias("raws"), F.transform(split, _tokens).alias("lines"))
     rows = rows.select("key", F.explode_outer(F.transform("lines", lambda t, i: F.struct(
         i.alias("line"), F.when(i == 0, F.col("raws")).alias("raws"), t.alias("tokens")))).alias("l"))
     lines = rows.select("key", "l.*").where((F.size("tokens") > 1) | F.col("raws").isNotNull())
-    # Levels of the tree: number of tokens, leading tokens.
-    branch = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH))
-    lines = lines.select("key", "line", "raws", "tokens", branch.alias("branch"), _xor(F.col("tokens")).alias("leaf"))
-    whole = F.array(F.xxhash64("branch", "leaf"))
-    other = F.transform(F.sequence(F.lit(DEPTH), F.size("tokens") - 1), lambda i: F.xxhash64(
-        "branch", F.lit(ANY), i, F.col("leaf").bitwiseXOR(F.get("tokens", i))))
-    templates = F.when(F.size("tokens").between(LEAST_TOKENS, SHORT), F.concat(whole, other)).when(F.size("tokens") > 1, whole)
-    return lines.select("key", "line", "raws", templates.alias("templates"))
+    lines = lines.select("key", "line", "raws", F.size("tokens").alias("size"), _branch().alias("branch"),
+                         _xor(F.slice("tokens", DEPTH + 1, _cut() - DEPTH)).alias("front"),
+                         _xor(F.slice("tokens", _cut() + 1, F.size("tokens"))).alias("back"))
+    varies = F.col("size") >= LEAST_TOKENS
+    return lines.select("key", "line", "raws", F.when(F.col("size") > 1, F.xxhash64("branch", F.col("front").bitwiseXOR(F.col("back")))).alias("whole"),
+                        F.when(varies, F.xxhash64("branch", F.lit("front"), "front")).alias("front"),
+                        F.when(varies, F.xxhash64("branch", F.lit("back"), "back")).alias("back"))
+
+
+def open_lines(found: DataFrame, min_docs: int) -> DataFrame:
+    """(key, open): each document's lines whose front or back is shared by ``min_docs`` lines that are not all equal."""
+    halves = found.where("front IS NOT NULL").select("key", "line", "whole", F.explode(F.array("front", "back")).alias("half"), "front")
+    shared = halves.groupBy("half").agg(F.count("*").alias("n"), (F.min("whole") < F.max("whole")).alias("differ"))
+    shared = shared.where((F.col("n") >= min_docs) & F.col("differ")).select("half")
+    lines = halves.join(shared, "half").groupBy("key", "line").agg(
+        F.max(F.col("half") == F.col("front")).alias("front"), F.max(F.col("half") != F.col("front")).alias("back"))
+    return lines.groupBy("key").agg(F.collect_list(F.struct("line", "front", "back")).alias("open"))
+
+
+def varied(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(key, line, template): templates with one variable token of the given lines, behind their front or before their back."""
+    text = F.col("text").cast("string")
+    # The keys alone are small, so that only texts with such lines are shuffled where the lines are not.
+    keys, _ = write_out(lines.select("key"), "open-keys")
+    rows = docs.select(F.xxhash64("doc_id", text).alias("key"), text.alias("text")).join(keys, "key", "left_semi").join(lines, "key")
+    rows = rows.select("key", "open", F.split(_plain(F.col("text")), "\n").alias("split"))
+    rows = rows.select("key", F.explode(F.transform("open", lambda o: F.struct(
+        o["line"].alias("line"), o["front"].alias("front"), o["back"].alias("back"), _tokens(F.get("split", o["line"])).alias("tokens")))).alias("l"))
+    rows = rows.select("key", "l.*").select("key", "line", "tokens", _branch().alias("branch"), _xor(F.col("tokens")).alias("all"),
+                                            F.when(F.col("back"), F.lit(DEPTH)).otherwise(_cut()).alias("low"),
+                                            F.when(F.col("front"), F.size("tokens") - 1).otherwise(_cut() - 1).alias("high"))
+    templates = F.transform(F.sequence("low", "high"), lambda i: F.xxhash64("branch", F.lit(ANY), i, F.col("all").bitwiseXOR(F.get("tokens", i))))
+    return rows.select("key", "line", F.explode(templates).alias("template"))
 
 
 def identities(found: DataFrame) -> DataFrame:
@@ -90,10 +133,12 @@ def recurring(hits: DataFrame, known: DataFrame, min_docs: int = MIN_DOCS) -> Da
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool = True) -> DataFrame:
     """``docs`` with the text without recurring lines, and with ``n_lines`` and ``n_dropped``; or only with its own columns."""
     found, _ = write_out(occurrences(docs), "lines")
-    each = found.select("key", "line", F.posexplode("templates").alias("at", "template"))
+    some, _ = write_out(open_lines(found, min_docs), "open-lines")
+    each = found.where("whole IS NOT NULL").select("key", "line", F.lit(True).alias("sure"), F.col("whole").alias("template"))
+    each = each.union(varied(docs, some).select("key", "line", F.lit(False), "template"))
     # Templates that occur less often than min_docs cannot recur; only the others meet the documents' identities.
     often = each.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("template")
-    often, _ = write_out(each.join(often, "template").select("key", "line", (F.col("at") == 0).alias("sure"), "template"), "often")
+    often, _ = write_out(each.join(often, "template").select("key", "line", "sure", "template"), "often")
     hits = often.join(recurring(often, identities(found), min_docs), "template").select("key", "line", "sure")
     gone = hits.groupBy(F.col("key").alias("_key")).agg(F.collect_set("line").alias("_gone"), F.collect_set(F.when(F.col("sure"), F.col("line"))).alias("_sure"))
     text = F.col("text").cast("string")
