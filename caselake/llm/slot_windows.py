@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from caselake.llm.store import free_prefix
+from caselake.llm.store import free_prefix, write_out
 
 WIDTH = 6
 LEAST_PLAIN = 4
@@ -35,39 +35,84 @@ UNITS = ("kg", "g", "mg", "km", "m", "cm", "mm", "miles", "mile", "feet", "ft",
          "hours", "hour", "minutes", "minute", "seconds", "second", "days", "day", "weeks", "week", "months", "month", "years", "year",
          "dollars", "dollar", "euros", "euro", "cents", "cent", "percent", "%", "$", "€", "£", "degrees", "degree")
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
+# All of ASCII but letters, digits, %, $ and white space, one by one.
+ASCII_MARKS = "[" + "".join(rf"\x{c:02x}" for c in range(128) if not chr(c).isalnum() and chr(c) not in "%$ \t\n\x0b\f\r") + "]"
 
 
-def _tokens(text: Column) -> Column:
-    """Tokens as {raw, ends}: without marks around them, and whether a sentence ends with them."""
+def _edges(mark: str) -> str:
+    """Marks at the edges of a word; where a sentence ends with them, $1 is its mark."""
+    return rf"(?={mark})(?:(?<!\S){mark}+|{mark}*([.!?])(?!\S)|{mark}+(?!\S))"
+
+
+def _marked(text: Column) -> Column:
+    """``text`` without marks around its words, but for one of ".!?" where a word ends with it."""
     sign = text.contains("$") | text.contains("€") | text.contains("£")
-    text = F.when(sign, F.regexp_replace(text, r"([$€£])(?=[.]?[0-9])", " $1 ")).otherwise(text)
-    edge = r"^[^\p{L}\p{N}%$€£]+|[^\p{L}\p{N}%$€£]+$"
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"\s+"),
-                        lambda w: F.struct(F.regexp_replace(w, edge, "").alias("raw"), F.substring(w, -1, 1).isin(".", "!", "?").alias("ends")))
-    return F.filter(parts, lambda t: t["raw"] != "")
+    text = F.coalesce(F.when(sign, F.regexp_replace(text, r"([$€£])(?=[.]?[0-9])", " $1 ")).otherwise(text), F.lit(""))
+    # Most texts have no marks beyond ASCII; single characters are found faster than classes.
+    bare = F.when(text.rlike(r"[^\x00-\x7F\p{L}\p{N}€£]"), F.regexp_replace(text, _edges(r"[^\p{L}\p{N}%$€£\s]"), "$1"))
+    return F.btrim(bare.otherwise(F.regexp_replace(text, _edges(ASCII_MARKS), "$1")), F.lit(" \t\n\x0b\f\r"))
+
+
+def _bare(marked: Column) -> Column:
+    return F.regexp_replace(marked, r"[.!?](?!\S)", "")
+
+
+def _words(marked: Column, bare: Column) -> Column:
+    """Words as three arrays of one length: with a sentence's mark behind them, without, and in lower case."""
+    none = F.array().cast("array<string>")
+    return F.struct(*(F.when(bare == "", none).otherwise(F.split(text, r"\s+")).alias(name)
+                      for name, text in (("marked", marked), ("raw", bare), ("low", F.lower(bare)))))
+
+
+def _tokens(text: Column) -> Column:
+    return _words(_marked(text), _bare(_marked(text)))
 
 
 def _starts_digit(word: Column) -> Column:
-    return F.substring(word, 1, 1).between("0", "9")
+    # Strings compare by their bytes, and ":" follows "9".
+    return (word < ":") & (word >= "0")
 
 
 def _canonical(tokens: Column) -> Column:
-    def of(t: Column, i: Column) -> Column:
-        before, head = F.get(tokens, i - 1), F.substring(t["raw"], 1, 1)
-        return (F.when(_starts_digit(t["raw"]), F.lit(NUMBER))
-                .when(t["raw"].isin("$", "€", "£") & F.coalesce(_starts_digit(F.get(tokens, i + 1)["raw"]), F.lit(False)), F.lit(UNIT))
-                .when(F.coalesce(_starts_digit(before["raw"]), F.lit(False)) & F.lower(t["raw"]).isin(*UNITS), F.lit(UNIT))
-                .when((head != F.lower(head)) & (i > 0) & ~F.coalesce(before["ends"], F.lit(True)), F.lit(NAME))
-                .otherwise(F.lower(t["raw"])))
-    return F.transform(tokens, of)
+    marked, words, lows = tokens["marked"], tokens["raw"], tokens["low"]
+
+    def of(raw: Column, i: Column) -> Column:
+        # What most words fail at comes first; a word that is its own lower case is no name.
+        low, head, before = F.get(lows, i), F.substring(raw, 1, 1), F.get(words, i - 1)
+        return (F.when(_starts_digit(raw), F.lit(NUMBER))
+                .when(raw.isin("$", "€", "£") & _starts_digit(F.get(words, i + 1)), F.lit(UNIT))
+                .when(_starts_digit(before) & low.isin(*UNITS), F.lit(UNIT))
+                .when((raw != low) & (i > 0) & (head != F.lower(head)) & (before == F.get(marked, i - 1)), F.lit(NAME))
+                .otherwise(low))
+    return F.transform(words, of)
+
+
+def _is_slot(form: Column) -> Column:
+    return form.isin(*(F.xxhash64(F.lit(w)) for w in (NUMBER, UNIT, NAME)))
+
+
+def _hash(i: Column, width: int) -> Column:
+    return F.xxhash64(F.lit(width), *(F.get("forms", i + k) for k in range(width)))
+
+
+def _places(width: int) -> tuple[Column, Column]:
+    """Whether a text has windows, and where they begin."""
+    last = F.size("forms") - width
+    return last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+
+
+def _matched(texts: DataFrame, windows: DataFrame, width: int) -> DataFrame:
+    """``key`` of every text that holds one of ``windows``, once."""
+    there, places = _places(width)
+    # A column of plain numbers, exploded apart from the lambdas: Spark compiles explosion, join and count as one.
+    hashes = texts.select("key", F.when(there, F.transform(places, lambda i: _hash(i, width))).alias("hashes"))
+    return hashes.select("key", F.explode_outer("hashes").alias("window")).join(windows, "window", "left_semi").select("key").distinct()
 
 
 def _windows(rows: DataFrame, width: int) -> DataFrame:
     """Explode ``rows`` (raw, forms, ...) into windows: place, window hash, number of plain tokens, slot values in order."""
-    hashes = F.transform("forms", lambda w: F.xxhash64(w))
-    slots = F.transform("forms", lambda w: w.isin(NUMBER, UNIT, NAME))
-    rows = rows.withColumn("h", hashes).withColumn("s", slots)
-    last = F.size("h") - width
+    rows = rows.withColumn("s", F.transform("forms", _is_slot))
+    there, places = _places(width)
     # Conditions on computed arrays would be pushed below them and compute them again: short texts give null here.
 
     def window(i: Column) -> Column:
@@ -76,17 +121,21 @@ def _windows(rows: DataFrame, width: int) -> DataFrame:
         for k in range(1, width):
             some = some | F.get("s", i + k)
         values = F.filter(F.transform(F.sequence(i, i + width - 1), lambda j: F.when(F.get("s", j), F.get("raw", j))), lambda v: v.isNotNull())
-        return F.struct(i.alias("place"), F.xxhash64(F.lit(width), *(F.get("h", i + k) for k in range(width))).alias("window"),
-                        F.when(some, values).alias("slots"))
+        return F.struct(i.alias("place"), _hash(i, width).alias("window"), F.when(some, values).alias("slots"))
 
-    held = [c for c in rows.columns if c not in ("raw", "forms", "h", "s")]
-    all_windows = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), window))
-    return rows.select(*held, F.explode_outer(all_windows).alias("w")).select(*held, "w.*")
+    held = [c for c in rows.columns if c not in ("raw", "forms", "s")]
+    return rows.select(*held, F.explode_outer(F.when(there, F.transform(places, window))).alias("w")).select(*held, "w.*")
 
 
 def _prepared(df: DataFrame, text: str, *held: Column) -> DataFrame:
-    step = df.select(*held, _tokens(F.col(text).cast("string")).alias("t"))
-    return step.select(*[c for c in step.columns if c != "t"], F.transform("t", lambda t: t["raw"]).alias("raw"), _canonical(F.col("t")).alias("forms"))
+    """``held``, each token's raw text, and the hash of its canonical form."""
+    # One step after the other, so that no text is cleaned once for each use.
+    step = df.select(*held, _marked(F.col(text).cast("string")).alias("marked"))
+    names = [c for c in step.columns if c != "marked"]
+    step = step.select(*names, "marked", _bare(F.col("marked")).alias("bare"))
+    step = step.select(*names, _words(F.col("marked"), F.col("bare")).alias("t")).select(*names, "t.*")
+    forms = F.transform(_canonical(F.struct("marked", "raw", "low")), lambda w: F.xxhash64(w))
+    return step.select(*names, "raw", forms.alias("forms"))
 
 
 def _merged(parts: Column) -> Column:
@@ -116,10 +165,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
     items = items.where(F.size("forms") > 0).withColumn("width", F.least(F.lit(WIDTH), F.size("forms")))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 6 values at most
     text = F.col("text").cast("string")
-    texts = _prepared(docs, "text", F.xxhash64("doc_id", text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"))
-    pairs, by_item = None, Window.partitionBy("item_id", "item_text")
+    held = F.xxhash64("doc_id", text).alias("key"), F.col("doc_id").cast("long").alias("doc_id")
+    by_item, windows, keys = Window.partitionBy("item_id", "item_text"), {}, None
     for width in widths:
-        plain = F.size(F.filter("forms", lambda w: ~w.isin(NUMBER, UNIT, NAME)))
+        plain = F.size(F.filter("forms", lambda w: ~_is_slot(w)))
         of_items = items.where(F.col("width") == width).withColumn("total", F.size("forms") - width + 1).withColumn("bare", plain < LEAST_PLAIN)
         of_items = _windows(of_items, width).where(F.col("window").isNotNull())
         of_items = of_items.withColumn("enough", F.lit(width) - F.coalesce(F.size("slots"), F.lit(0)) >= min(LEAST_PLAIN, width))
@@ -132,13 +181,21 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
         of_items = of_items.select(
             "window", "item_id", "item_text", F.when(few & ~F.col("dense"), F.col("total")).otherwise(F.col("n_joined")).alias("n_windows"), "dense",
             (F.col("dense") & F.col("bare")).alias("bare"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
-        if of_items.count() <= BROADCAST_WINDOWS:
-            of_items = F.broadcast(of_items)
+        windows[width] = of_items = F.broadcast(of_items) if (small := of_items.count() <= BROADCAST_WINDOWS) else of_items
+        known = of_items.select("window").distinct()
+        matched = _matched(_prepared(docs, "text", *held), F.broadcast(known) if small else known, width)
+        keys = matched if keys is None else keys.union(matched)
+    if keys is None:
+        return _prepared(docs, "text", *held).select("key", "doc_id", F.col("doc_id").alias("item_id"), F.lit(0.0).alias("covered"), F.lit(1.0).alias("consistent")).limit(0)
+    # Most texts hold no window of any item. The others' keys are written, so that their number is known to the join, and
+    # only their places and slot values are looked at.
+    keys, _ = write_out(keys.distinct(), "matched")
+    texts = _prepared(docs.join(keys, F.xxhash64("doc_id", text) == keys["key"], "left_semi"), "text", *held)
+    pairs = None
+    for width, of_items in windows.items():
         found = _windows(texts, width).join(of_items, "window").select(
             "key", "doc_id", "item_id", "item_text", "n_windows", "dense", "bare", "item_place", "item_slots", "slots", (F.col("place") - F.col("item_place")).alias("shift"))
         pairs = found if pairs is None else pairs.union(found)
-    if pairs is None:
-        return texts.select("key", "doc_id", F.col("doc_id").alias("item_id"), F.lit(0.0).alias("covered"), F.lit(1.0).alias("consistent")).limit(0)
     of = ["key", "doc_id", "item_id", "item_text"]
     of += ["n_windows", "dense", "bare"]
     # One row per alignment, with its item windows and their slot assignments; then per document and item.
