@@ -101,7 +101,7 @@ class PieceEncoder:
         self.flat, self.bad = np.zeros(0, np.uint32), np.zeros(0, bool)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _run(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids of words encoded as one text, with each word's start and count; None where they can't be told apart."""
