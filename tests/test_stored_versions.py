@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from caselake.operators import versions
+from caselake.operators import publish, versions
 from caselake.plans import gold, silver
 from caselake.session import materialise
 from caselake.sources.reference import flatten_reference
+from caselake.specs import PARTITION_COLUMNS
 from caselake.workload import cases, inputs
 
 SCHEMA = "k string, t int, id int"
@@ -58,3 +59,19 @@ def test_rows_of_single_ids_are_not_shuffled(spark, folder):
     once = cases.bronze_rows(spark, folder, which="ln = 1").dropDuplicates([c.lower() for c in inputs.NOTIFICATION])
     classified = silver.classified(materialise(once, "once"), flatten_reference(inputs.reference_nested(spark, folder)), cases.RUN)
     assert "Window" not in _plan(classified)
+
+
+def test_silver_is_written_without_moving_its_rows(spark, folder, tmp_path, monkeypatch):
+    """Bronze files hold few folders each, and so do the classified ones: no second shuffle by folder, and no flood of files."""
+    moved = []
+    balanced = publish.balanced
+    monkeypatch.setattr(publish, "balanced", lambda df, *keys: moved.append(keys) or balanced(df, *keys))
+    publish.write_slices(cases.bronze_rows(spark, folder), f"{tmp_path}/bronze", PARTITION_COLUMNS)
+    reference = flatten_reference(inputs.reference_nested(spark, folder))
+    counts = silver.load_silver(
+        spark, cases.PART, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/quarantine", reference, cases.RUN)
+    assert moved == [PARTITION_COLUMNS, (*PARTITION_COLUMNS, "primary_error_code")]  # Bronze, and what is put aside
+    written = spark.read.parquet(f"{tmp_path}/silver")
+    assert written.count() == counts["silver_record_count"]
+    folders = written.select(*PARTITION_COLUMNS).distinct().count()
+    assert written.select(F.input_file_name()).distinct().count() <= 3 * folders
